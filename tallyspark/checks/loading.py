@@ -510,7 +510,8 @@ _CHECKS = {
     sql(
         ["prod", "cat"],
         " UNION ALL ".join(
-            f"SELECT '{n}' AS check_name, {e} AS failed, {str(c).upper()} AS critical FROM prod"
+            f"SELECT '{n}' AS check_name, {e} AS failed, {str(c).upper()} AS critical"
+            + ("" if e.startswith("(") else " FROM prod")
             for n, (e, c) in _CHECKS.items()
         ),
     ),

@@ -12,6 +12,7 @@ from tallyspark.functions import values
 from tallyspark.functions.quantiles import exact_quantiles
 from tallyspark.operators import cascade, clean, diagnostics, evidence, gates, taxonomy, training, views
 from tallyspark.plans import jobs
+from tallyspark.session import materialized
 from tallyspark.sources import sinks
 
 
@@ -24,7 +25,11 @@ def dominant(spark, sf):
 
 
 def categorized(spark, sf):
-    """The cascade without the classifier."""
+    """The cascade without the classifier, as the table its reports read."""
+    return materialized(cascaded(spark, sf), "categorized")
+
+
+def cascaded(spark, sf):
     return jobs.full_pass(
         adapter.raw(spark, sf), lookups.approved_mappings(spark), dominant(spark, sf)
     )
@@ -542,9 +547,7 @@ def m2(spark, sf):
 
 @query("M3_keyword_rule", sql(["first_pass"], "SELECT voucher_id, rule_family FROM first_pass"))
 def m3(spark, sf):
-    return cascade.clean_inputs(adapter.raw(spark, sf)).select(
-        "voucher_id", cascade.keyword_family(F.col("description_clean")).alias("rule_family")
-    )
+    return cascade.clean_inputs(adapter.raw(spark, sf)).select("voucher_id", "rule_family")
 
 
 @query("M4_strong_category_select", sql(["strong"], "SELECT category_id_clean, strong_family FROM strong"))
@@ -570,7 +573,7 @@ def m5(spark, sf):
     ),
 )
 def m7(spark, sf):
-    return categorized(spark, sf).select(
+    return cascaded(spark, sf).select(
         "voucher_id", "description_clean", "canonical_id", "canonical_family", "canonical_mapping_status", "mapping_method"
     )
 

@@ -77,7 +77,7 @@ part(
 part(
     "boosts",
     ["asks", "strong_terms"],
-    """SELECT query, CASE WHEN min(position) IS NULL THEN 0.0 ELSE 0.07 END AS cluster_boost, min_by(cluster_id, position) AS cluster_match_id
+    """SELECT query, CAST(CASE WHEN min(position) IS NULL THEN 0.0 ELSE 0.07 END AS DOUBLE) AS cluster_boost, min_by(cluster_id, position) AS cluster_match_id
        FROM asks LEFT JOIN strong_terms ON contains(' ' || query || ' ', ' ' || term || ' ') GROUP BY 1""",
 )
 
@@ -464,11 +464,9 @@ def model_io(spark, sf):
 def predictions(spark, sf):
     """A class distribution per transaction, mostly led by its mapped family."""
     key = F.col("voucher_id").cast("long")
-    rows = categorized(spark, sf).select(
-        key.alias("voucher_id"),
-        "vch_desc",
-        "vch_type",
-        F.when(F.col("canonical_family") == "UNMAPPED", "Other").otherwise(F.col("canonical_family")).alias("actual"),
+    rows = values.computed_once(
+        categorized(spark, sf).select(key.alias("voucher_id"), "vch_desc", "vch_type", "canonical_family"),
+        {"actual": F.when(F.col("canonical_family") == "UNMAPPED", "Other").otherwise(F.col("canonical_family"))},
     )
     scores = [
         (key * (2 * i + 3) + i) % 23
@@ -476,11 +474,15 @@ def predictions(spark, sf):
         + F.when((F.col("actual") == c) & (key % 6 != 0), (key * 37) % 400).otherwise(0)
         for i, c in enumerate(CLASSES)
     ]
-    total = sum(scores[1:], scores[0])
-    return rows.select(
-        "*",
-        F.array(*[F.lit(c) for c in CLASSES]).alias("classes"),
-        F.array(*[s.cast("double") / total.cast("double") for s in scores]).alias("probabilities"),
+    rows = values.computed_once(rows, {f"s{i}": s for i, s in enumerate(scores)})
+    names = [F.col(f"s{i}") for i in range(len(CLASSES))]
+    total = sum(names[1:], names[0]).cast("double")
+    return values.computed_once(
+        rows,
+        {
+            "classes": F.array(*[F.lit(c) for c in CLASSES]),
+            "probabilities": F.array(*[s.cast("double") / total for s in names]),
+        },
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import schemas
@@ -67,6 +67,17 @@ def quality_flags(
     }
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters and projections use by value.
+
+    Filters are otherwise pushed below the projection and repeat its
+    expressions, once per use.  A one-row generator is a border they stay above.
+    """
+    keep = [c for c in df.columns if c not in columns]
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
 def amount_of(kind: str, type_col: Column, amount: Column) -> Column:
     """The amount where the row has the given type, else 0."""
     return F.when(type_col == kind, amount).otherwise(F.lit(0).cast(schemas.MONEY))

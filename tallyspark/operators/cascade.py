@@ -29,14 +29,17 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
 
 
 def clean_inputs(raw: DataFrame) -> DataFrame:
-    """Add the normalized columns every stage compares."""
-    return raw.withColumns(
+    """Add the normalized columns every stage compares, and the keyword rule's family."""
+    cleaned = values.computed_once(
+        raw.withColumn("source_category_id", F.col("category_id")),
         {
-            "source_category_id": F.col("category_id"),
             "description_clean": text.normalize_cascade(F.col("vch_desc")),
             "vch_type_clean": text.normalize_type(F.col("vch_type")),
             "category_id_clean": text.normalize_category_id(F.col("category_id")),
-        }
+        },
+    )
+    return values.computed_once(
+        cleaned, {"rule_family": keyword_family(F.col("description_clean"))}
     )
 
 
@@ -67,10 +70,11 @@ def approved_lookup(approved: DataFrame, gate: bool = True) -> DataFrame:
 
 def keyword_family(description: Column, rules: dict[str, Sequence[str]] = lookups.RULE_KEYWORDS) -> Column:
     """The family if exactly one family has a keyword in the text, else NULL."""
-    hits = F.array_compact(
-        F.array(*[F.when(text.contains_any(description, words), f) for f, words in rules.items()])
+    hits = F.concat_ws(
+        "|", *[F.when(text.contains_any(description, words), f) for f, words in rules.items()]
     )
-    return F.when(F.size(hits) == 1, F.element_at(hits, 1))
+    # Only a single hit is a family name; none and several are not.
+    return text.map_values(hits, {f: f for f in rules})
 
 
 def strong_categories(
@@ -120,10 +124,8 @@ def resolve(df: DataFrame, taxonomy_version: str = "v2") -> DataFrame:
     def stage(name: str, dtype: str) -> Column:
         return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
-    rule = keyword_family(F.col("description_clean"))
     staged = df.withColumns(
         {
-            "rule_family": rule,
             "approved_id": stage("approved_id", "int"),
             "approved_family": stage("approved_family", "string"),
             "strong_family": stage("strong_family", "string"),

@@ -122,12 +122,14 @@ def date_parts_agree(df: DataFrame) -> DataFrame:
 def sane_labelled(raw: DataFrame) -> DataFrame:
     """Rows usable as labelled evidence: complete, with a sane numeric category and some text."""
     category = values.to_number(F.col("category_id"), "double")
-    return (
-        raw.dropna(subset=["id", "vch_desc", "category_id", "vch_type"])
-        .withColumn("source_category_id", category)
-        .filter(F.col("source_category_id") <= lookups.MAX_SANE_CATEGORY_ID)
-        .withColumn("source_category_id", F.col("source_category_id").cast("bigint"))
-        .withColumn("clean_description", text.normalize_evidence(F.col("vch_desc")))
-        .filter("clean_description <> ''")
-        .withColumn("vch_type", text.strip(F.col("vch_type")))
+    usable = raw.dropna(subset=["id", "vch_desc", "category_id", "vch_type"]).filter(
+        category <= lookups.MAX_SANE_CATEGORY_ID
     )
+    return values.computed_once(
+        usable,
+        {
+            "source_category_id": category.cast("bigint"),
+            "clean_description": text.normalize_evidence(F.col("vch_desc")),
+            "vch_type": text.strip(F.col("vch_type")),
+        },
+    ).filter("clean_description <> ''")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyspark import lookups
 from tallyspark.functions.quantiles import exact_quantiles
 from tallyspark.functions.text import normalize_ml
+from tallyspark.functions import values
 from tallyspark.functions.values import share
 from tallyspark.operators.cascade import with_share
 
@@ -36,19 +37,16 @@ def top2(df: DataFrame, single_class_repeats: bool = False) -> DataFrame:
     spare = first if single_class_repeats else F.lit(None)
     second_p = F.when(only, -first["m"] if single_class_repeats else F.lit(0.0)).otherwise(-second["m"])
     second_c = F.when(only, spare["c"] if single_class_repeats else F.lit(None)).otherwise(second["c"])
-    return (
-        df.withColumn("_r", ranked)
-        .withColumns(
-            {
-                "prediction": first["c"],
-                "confidence": -first["m"],
-                "second_prediction": second_c,
-                "second_confidence": second_p,
-                "margin": -first["m"] - second_p,
-            }
-        )
-        .drop("_r")
-    )
+    return values.computed_once(
+        df.withColumn("_r", ranked),
+        {
+            "prediction": first["c"],
+            "confidence": -first["m"],
+            "second_prediction": second_c,
+            "second_confidence": second_p,
+            "margin": -first["m"] - second_p,
+        },
+    ).drop("_r")
 
 
 def threshold_grid(
@@ -104,12 +102,14 @@ def threshold_grid(
 def recommend(grid: DataFrame, target: float = 95.0) -> DataFrame:
     """The widest point that reaches the target accuracy, else the most accurate point."""
     valid = F.coalesce(F.col("accepted_accuracy_pct") >= target, F.lit(False))
-    ranked = F.when(
-        valid, F.struct(F.lit(1), F.col("coverage_pct"), F.col("accepted_accuracy_pct"))
-    ).otherwise(F.struct(F.lit(0), F.col("accepted_accuracy_pct"), F.col("coverage_pct")))
-    # Remaining ties: the lower thresholds.
+    coverage, accuracy = F.col("coverage_pct"), F.col("accepted_accuracy_pct")
     order = F.struct(
-        ranked, (-F.col("confidence_threshold")).alias("c"), (-F.col("margin_threshold")).alias("m")
+        valid.alias("v"),
+        F.when(valid, coverage).otherwise(accuracy).alias("a"),
+        F.when(valid, accuracy).otherwise(coverage).alias("b"),
+        # Remaining ties: the lower thresholds.
+        (-F.col("confidence_threshold")).alias("c"),
+        (-F.col("margin_threshold")).alias("m"),
     )
     best = grid.filter(F.col("accepted_accuracy_pct").isNotNull()).agg(
         F.max_by(F.struct(*grid.columns, valid.alias("reaches_target")), order).alias("best")

@@ -61,8 +61,9 @@ def risk_rank(tier: Column) -> Column:
 def proposed(labelled: DataFrame) -> DataFrame:
     """Labelled rows with a proposed family, only where there is one."""
     return (
-        labelled.withColumn(
-            "proposed_family", propose_family(F.col("clean_description"), F.col("vch_type"))
+        values.computed_once(
+            labelled,
+            {"proposed_family": propose_family(F.col("clean_description"), F.col("vch_type"))},
         )
         .filter(~F.col("proposed_family").isin("Unassigned", "AMBIGUOUS"))
         .withColumnRenamed("clean_description", "description")

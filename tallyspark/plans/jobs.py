@@ -99,9 +99,9 @@ def model_decisions(staged: DataFrame, model: classifier.TextModel) -> DataFrame
     """``(description_clean, ml_family, ml_confidence, ml_margin)`` of the texts no earlier stage settled."""
     open_texts = (
         staged.filter(
-            "approved_family is null and strong_family is null and description_clean <> ''"
+            "approved_family is null and strong_family is null and rule_family is null"
+            " and description_clean <> ''"
         )
-        .filter(cascade.keyword_family(F.col("description_clean")).isNull())
         .select(F.col("description_clean").alias("text"))
         .distinct()
     )
