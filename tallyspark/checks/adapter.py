@@ -85,6 +85,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when a small file gives fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_of():
     return F.lit(AS_OF).cast("date")
 
@@ -93,7 +99,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text rows."""
     # p_partkey < 200 follows from the join; said here, it bounds the part side at 200 keys.
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size").filter("p_partkey < 200")
-    return spark.sql(RAW_SQL, orders=table(spark, sf_dir, "orders"), part=part)
+    return spark.sql(RAW_SQL, orders=spread(table(spark, sf_dir, "orders")), part=part)
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:

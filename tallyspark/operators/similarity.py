@@ -1,21 +1,18 @@
 """Nearest reference texts and vectors, exactly, as distributed joins.
 
-Sparse side: character n-gram TF-IDF with an inverted-index equi-join.  The
-number of emitted pairs is kept down by an exact bound instead of a cap:
-
-1. The rarest grams of a query whose reference lists together stay under a
-   budget are scored first.  Weights are never negative, so the k-th best
-   partial score is a lower bound of the k-th best similarity.
-2. A reference that shares none of the query's leading (rarest-first) grams can
-   reach at most the norm of the remaining weights.  Grams are needed only
-   while that norm still reaches the bound, which leaves out the frequent ones.
-3. Pairs whose partial score plus the remaining norm stays under the bound are
-   dropped; the rest get their exact score.
-
-Frequent grams that are still needed are split over salted buckets on both sides.
-
-Dense side: references are grouped around pivot vectors and the triangle
-inequality on angles tells which groups can hold one of the k nearest.
+Nothing emits all pairs of a group, and nothing is capped or sampled.  Both
+kinds of search work the same way:
+
+1. References are cut into blocks of bounded size that hold similar ones:
+   neighbouring texts in sort order, or vectors around a pivot.
+2. For every query and block a join yields an upper bound of the similarity
+   that any reference of the block can reach.
+3. The most promising blocks are scored; the k-th best similarity found is a
+   lower bound of the final one, and only blocks whose upper bound still
+   reaches it are scored as well.
+
+A block that many queries ask for is scored in several chunks of queries, so a
+crowd around one text or vector spreads over tasks.
 """
 
 from __future__ import annotations
@@ -30,7 +27,10 @@ from pyspark.sql import functions as F
 from tallyspark.functions.text import char_wb_ngrams
 from tallyspark.session import materialized
 
-SEED_POSTINGS = 2_000
+# References per block and queries per chunk, in grams; matrix cells scored at once.
+BLOCK_GRAMS = 50_000
+CHUNK_GRAMS = 25_000
+CELLS = 2_000_000
 BUCKET_ROWS = 4_096
 EPS = 1e-9
 DIGITS = 10
@@ -82,101 +82,147 @@ def nearest_texts(queries: DataFrame, references: DataFrame, k: int = 5) -> Data
     Similarities are rounded to ten digits, so that equal texts tie on every
     machine; ties go to the alphabetically first reference.
     """
-    ref_counts = gram_counts(references.select(F.col("text").alias("reference")), "reference", "reference")
-    query_counts = gram_counts(queries.select(F.col("text").alias("query")), "query", "query")
-    size = references.agg(F.count(F.lit(1))).scalar()
-    ref_counts = materialized(ref_counts, "ref-grams")
-    query_counts = materialized(query_counts, "query-grams")
-    uses = query_counts.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
-    vocabulary = idf_table(ref_counts, size).join(uses, "gram", "left").fillna(0, ["uses"])
+    refs, asked = _weighted_grams(queries, references)
+    peaks = refs.groupBy("block", "gid").agg(F.max("rw").alias("peak"))
+    reach = materialized(
+        asked.join(peaks, "gid")
+        .groupBy("query", "block")
+        .agg(F.sum(F.col("w") * F.col("peak")).alias("reach")),
+        "reach",
+    )
+    first = top_k(reach, "query", [F.desc("reach"), F.asc("block")], 2).select("query", "block")
+    tried = materialized(_score_texts(first, asked, refs, k), "first-blocks")
+    bound = kth_best(tried, "query", "similarity", k)
+    more = (
+        reach.join(first, ["query", "block"], "left_anti")
+        .join(bound, "query", "left")
+        .filter(F.col("reach") >= F.coalesce("bound", F.lit(0.0)) - EPS)
+        .select("query", "block")
+    )
+    scores = tried.unionByName(_score_texts(more, asked, refs, k))
+    return top_k(scores, "query", [F.desc("similarity"), F.asc("reference")], k)
 
-    refs = materialized(
-        unit_weights(ref_counts, vocabulary, "reference").select(
-            "reference", "gram", F.col("w").alias("rw"), "df", "uses"
+
+def _weighted_grams(queries: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Unit weights of both sides by gram id; references also carry their block."""
+    named = references.select(F.col("text").alias("reference"))
+    counts = materialized(gram_counts(named, "reference", "reference"), "ref-grams")
+    vocabulary = materialized(
+        idf_table(counts, references.agg(F.count(F.lit(1))).scalar()).withColumn(
+            "gid", F.monotonically_increasing_id()
         ),
-        "ref-weights",
+        "vocabulary",
     )
-    ordered = _rarest_first(unit_weights(query_counts, vocabulary, "query"))
-    grams = materialized(ordered, "query-weights")
-
-    seeds = grams.filter(F.col("cost") <= SEED_POSTINGS)
-    bound = kth_best(_scored(seeds, refs), "query", "partial", k)
-    bounded = grams.join(bound, "query", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
-    lead = F.col("tail") >= F.col("bound") - EPS
-    leading = bounded.filter(lead)
-    trailing = bounded.filter(~lead)
-
-    rest = bounded.groupBy("query").agg(
-        F.max("bound").alias("bound"),
-        F.sqrt(F.coalesce(F.sum(F.when(~lead, F.col("w") * F.col("w"))), F.lit(0.0))).alias("rest"),
+    refs = materialized(
+        unit_weights(counts, vocabulary, "reference")
+        .join(_blocks(counts), "reference")
+        .select("block", "reference", "gid", F.col("w").alias("rw")),
+        "ref-weights",
     )
-    survivors = (
-        _scored(leading, refs)
-        .join(rest, "query")
-        .filter(F.col("partial") + F.col("rest") >= F.col("bound") - EPS)
-        .select("query", "reference", "partial")
+    asked = materialized(
+        unit_weights(
+            gram_counts(queries.select(F.col("text").alias("query")), "query", "query"),
+            vocabulary,
+            "query",
+        ).select("query", "gid", "w"),
+        "query-weights",
     )
-    survivors = materialized(survivors, "survivors")
-    tails = (
-        survivors.select("query", "reference")
-        .join(trailing.select("query", "gram", "w"), "query")
-        .join(refs.select("reference", "gram", "rw"), ["reference", "gram"])
-        .select("query", "reference", (F.col("w") * F.col("rw")).alias("partial"))
+    return refs, asked
+
+
+def _blocks(counts: DataFrame) -> DataFrame:
+    """``(reference, block)``: runs of neighbouring texts with about ``BLOCK_GRAMS`` grams each."""
+    ranges = 1 + counts.count() // (40 * BLOCK_GRAMS)
+    texts = materialized(
+        counts.groupBy("reference")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange(ranges, "reference")
+        .withColumn("range", F.spark_partition_id()),
+        "text-ranges",
     )
-    exact = (
-        survivors.unionByName(tails)
-        .groupBy("query", "reference")
-        .agg(F.round(F.sum("partial"), DIGITS).alias("similarity"))
-        .filter("similarity > 0")
+    running = (
+        Window.partitionBy("range")
+        .orderBy("reference")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    return top_k(exact, "query", [F.desc("similarity"), F.asc("reference")], k)
+    part = F.floor((F.sum("n").over(running) - 1) / BLOCK_GRAMS)
+    return texts.select("reference", (F.col("range") * 1_000_000 + part).alias("block"))
 
 
-def _rarest_first(weights: DataFrame) -> DataFrame:
-    """Add the running reference count and the norm from each gram to the last one."""
-    running = (
-        Window.partitionBy("query").orderBy("df", "gram").rowsBetween(Window.unboundedPreceding, 0)
+def _score_texts(wanted: DataFrame, asked: DataFrame, refs: DataFrame, k: int) -> DataFrame:
+    """The k best references inside each wanted (query, block)."""
+    sizes = asked.groupBy("query").agg(F.count(F.lit(1)).alias("n"))
+    chunks = (
+        wanted.join(sizes, "query")
+        .groupBy("block")
+        .agg(F.ceil(F.sum("n") / CHUNK_GRAMS).cast("int").alias("chunks"))
+    )
+    left = (
+        wanted.join(chunks, "block")
+        .withColumn("chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int"))
+        .select("query", "block", "chunk")
+        .join(asked, "query")
+    )
+    right = refs.join(chunks, "block").select(
+        "reference",
+        "gid",
+        "rw",
+        "block",
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
     )
-    squared = F.col("w") * F.col("w")
-    before = F.sum(squared).over(running) - squared
-    return weights.select(
-        "query",
-        "gram",
-        "w",
-        "df",
-        "uses",
-        F.sum("df").over(running).alias("cost"),
-        F.sqrt(F.greatest(1.0 - before, F.lit(0.0))).alias("tail"),
+
+    return (
+        left.groupBy("block", "chunk")
+        .cogroup(right.groupBy("block", "chunk"))
+        .applyInPandas(_block_scorer(k), "query string, reference string, similarity double")
     )
 
 
-def _scored(grams: DataFrame, refs: DataFrame) -> DataFrame:
-    """``(query, reference, partial)`` over the given query grams.
+def _block_scorer(k: int):
+    """Sparse products of one chunk of queries with one block of references.
 
-    A gram used by many queries or held by many references is cut into buckets
-    of at most ``BUCKET_ROWS`` rows on either side.
+    Built as a closure, so that it reaches the workers by value.
     """
 
-    def parts(n: str) -> Column:
-        return F.greatest(F.ceil(F.col(n) / BUCKET_ROWS), F.lit(1)).cast("int")
-
-    left = grams.withColumns(
-        {
-            "qs": F.pmod(F.xxhash64("query"), parts("uses")).cast("int"),
-            "rs": F.explode(F.sequence(F.lit(0), parts("df") - 1)),
-        }
-    ).select("query", "gram", "w", "qs", "rs")
-    right = refs.withColumns(
-        {
-            "rs": F.pmod(F.xxhash64("reference"), parts("df")).cast("int"),
-            "qs": F.explode(F.sequence(F.lit(0), parts("uses") - 1)),
-        }
-    ).select("reference", "gram", "rw", "qs", "rs")
-    return (
-        left.join(right, ["gram", "qs", "rs"])
-        .groupBy("query", "reference")
-        .agg(F.sum(F.col("w") * F.col("rw")).alias("partial"))
-    )
+    def best(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if asks.empty or held.empty:
+            return pd.DataFrame({"query": [], "reference": [], "similarity": []})
+        held = held.sort_values("gid", kind="stable")
+        ref_code, ref_names = pd.factorize(held["reference"], sort=True)
+        asks = asks.sort_values("query", kind="stable")
+        ask_code, ask_names = pd.factorize(asks["query"])
+        gids, rw = held["gid"].to_numpy(), held["rw"].to_numpy()
+        w = asks["w"].to_numpy()
+        start = np.searchsorted(gids, asks["gid"].to_numpy(), "left")
+        count = np.searchsorted(gids, asks["gid"].to_numpy(), "right") - start
+        width = len(ref_names)
+        step = max(1, CELLS // width)
+        out = []
+        for low in range(0, len(ask_names), step):
+            rows = slice(*np.searchsorted(ask_code, [low, low + step]))
+            height = min(step, len(ask_names) - low)
+            n = count[rows]
+            ask_row = np.repeat(np.arange(rows.start, rows.stop), n)
+            within = np.arange(len(ask_row)) - np.repeat(np.cumsum(n) - n, n)
+            hit = start[ask_row] + within
+            cell = (ask_code[ask_row] - low) * width + ref_code[hit]
+            sims = np.bincount(cell, w[ask_row] * rw[hit], height * width).reshape(height, width)
+            sims = np.round(sims, DIGITS)
+            order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+            top = np.take_along_axis(sims, order, 1)
+            ask, place = np.nonzero(top > 0)
+            out.append(
+                pd.DataFrame(
+                    {
+                        "query": ask_names.to_numpy()[low + ask],
+                        "reference": ref_names.to_numpy()[order[ask, place]],
+                        "similarity": top[ask, place],
+                    }
+                )
+            )
+        return pd.concat(out)
+
+    return best
 
 
 def kth_best(scores: DataFrame, key: str, score: str, k: int) -> DataFrame:

@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions import values
-from tallyspark.functions.values import amount_of
 from tallyspark.sources.readers import optional_column
 
-AMOUNT = F.col("amount")
-KIND = F.col("transaction_type")
+
+def _sum_of(kind: str, size: bool = False):
+    """Sum of the amount, or of its size, over rows of one type."""
+    amount = F.abs("amount") if size else F.col("amount")
+    return F.sum(values.amount_of(kind, F.col("transaction_type"), amount))
 
 
 def _stats():
     return [
         F.count(F.lit(1)).alias("transaction_count"),
         F.sum("amount").alias("total_amount"),
-        values.mean(AMOUNT).alias("average_amount"),
+        values.mean(F.col("amount")).alias("average_amount"),
         F.min("amount").alias("minimum_amount"),
         F.max("amount").alias("maximum_amount"),
     ]
@@ -41,10 +43,10 @@ def consumer_summary(df: DataFrame) -> DataFrame:
         .groupBy("consumer_id")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            F.sum(amount_of("Income", KIND, AMOUNT)).alias("total_income"),
-            F.sum(amount_of("Expense", KIND, AMOUNT)).alias("total_expense"),
-            F.sum(amount_of("Transfer", KIND, AMOUNT)).alias("total_transfer"),
-            values.mean(AMOUNT).alias("average_transaction_amount"),
+            _sum_of("Income").alias("total_income"),
+            _sum_of("Expense").alias("total_expense"),
+            _sum_of("Transfer").alias("total_transfer"),
+            values.mean(F.col("amount")).alias("average_transaction_amount"),
             F.min("transaction_date").alias("first_transaction_date"),
             F.max("transaction_date").alias("last_transaction_date"),
         )
@@ -68,9 +70,9 @@ def financial_kpis(df: DataFrame) -> DataFrame:
     per_consumer = df.groupBy("consumer_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("amount").alias("n_amount"),
-        F.sum(amount_of("Income", KIND, AMOUNT)).alias("income"),
-        F.sum(amount_of("Expense", KIND, AMOUNT)).alias("expense"),
-        F.sum(amount_of("Transfer", KIND, AMOUNT)).alias("transfer"),
+        _sum_of("Income").alias("income"),
+        _sum_of("Expense").alias("expense"),
+        _sum_of("Transfer").alias("transfer"),
         F.sum("amount").alias("amount"),
         F.min("transaction_date").alias("first"),
         F.max("transaction_date").alias("last"),
@@ -120,15 +122,15 @@ def _categorized(df: DataFrame, categorization: DataFrame) -> DataFrame:
 
 
 def category_summary(df: DataFrame, categorization: DataFrame) -> DataFrame:
-    size = F.abs(AMOUNT)
+    size = F.abs("amount")
     return (
         _categorized(df, categorization)
         .groupBy("category_name")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            F.sum(amount_of("Income", KIND, AMOUNT)).alias("total_income"),
-            F.sum(amount_of("Expense", KIND, size)).alias("total_expense"),
-            F.sum(amount_of("Transfer", KIND, size)).alias("total_transfer"),
+            _sum_of("Income").alias("total_income"),
+            _sum_of("Expense", size=True).alias("total_expense"),
+            _sum_of("Transfer", size=True).alias("total_transfer"),
             F.sum(size).alias("total_amount"),
             values.mean(size).alias("average_amount"),
         )
@@ -144,7 +146,7 @@ def category_type_summary(df: DataFrame, categorization: DataFrame) -> DataFrame
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
             F.sum("amount").alias("total_amount"),
-            F.sum(amount_of("Expense", KIND, F.abs(AMOUNT))).alias("total_expense"),
+            _sum_of("Expense", size=True).alias("total_expense"),
         )
         .orderBy(*keys)
     )
