@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+_local_dirs: dict[str, str] = {}
 
 
 def local_session(cores: int | str = 8, memory: str = "12g", partitions: int = 8) -> SparkSession:
@@ -30,8 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tallyspark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        app = spark.sparkContext.applicationId
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="tallyspark-")
+        configured = _local_dirs[app]
     return configured.rstrip("/")
 
 
@@ -40,7 +45,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tallyspark/{label}-{uuid.uuid4().hex}"
 
 
-def materialized(df, label: str):
+def materialized(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
