@@ -109,7 +109,7 @@ def strong_clusters(
         clusters.filter("discovered_cluster <> -1")
         .withColumn("pairs", parse_top_descriptions(F.col("top_descriptions")))
         .filter(F.size("pairs") > 0)
-        .withColumn("top", F.element_at("pairs", 1))
+        .withColumn("top", F.try_element_at("pairs", F.lit(1)))
         .withColumn("proxy", F.coalesce(F.try_divide(F.col("top.count"), total), F.lit(0.0)))
         .withColumn("term", normalize(F.col("top.description")))
         .filter(

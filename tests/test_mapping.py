@@ -161,20 +161,63 @@ def test_top2_and_grid(spark):
     assert best.reaches_target and best.confidence_threshold == 0.5 and best.margin_threshold == 0.05
 
 
+def reference_fit(texts, labels, ask):
+    """The same objective minimized densely: balanced log loss plus half the squared weights."""
+    import numpy as np
+
+    def grams(t):
+        w = [x for x in t.split() if len(x) >= 2]
+        return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+    docs = [grams(t) for t in texts]
+    df = {}
+    for d in docs:
+        for g in set(d):
+            df[g] = df.get(g, 0) + 1
+    vocabulary = sorted(g for g in df if df[g] <= 0.98 * len(docs))
+    idf = np.array([np.log((1 + len(docs)) / (1 + df[g])) + 1 for g in vocabulary])
+
+    def vector(d):
+        tf = np.array([d.count(g) for g in vocabulary], dtype=float)
+        v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * idf
+        return v / (np.linalg.norm(v) or 1.0)
+
+    x = np.stack([vector(d) for d in docs])
+    classes = sorted(set(labels))
+    y = np.array([[c == label for c in classes] for label in labels], dtype=float)
+    weight = len(y) / (len(classes) * y.sum(0))[y.argmax(1)]
+    w, b = np.zeros((x.shape[1], len(classes))), np.zeros(len(classes))
+    for _ in range(20000):
+        z = x @ w + b
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        d = (p - y) * weight[:, None] / len(y)
+        w -= 1.0 * (x.T @ d + w / len(y))
+        b -= 1.0 * d.sum(0)
+    z = np.stack([vector(grams(t)) for t in ask]) @ w + b
+    p = np.exp(z - z.max(1, keepdims=True))
+    return classes, p / p.sum(1, keepdims=True)
+
+
 def test_classifier_fit_save_load(spark, tmp_path):
-    words = {"Fuel": ["petrol", "diesel pump", "fuel station"], "Income": ["salary", "monthly wages", "bonus pay"]}
-    rows = spark.createDataFrame(
-        [(f"{f}-{w}-{i}", f"{w} {i}x", f) for f, ws in words.items() for w in ws for i in range(4)],
-        "row_id string, text string, label string",
-    )
+    words = {"Fuel": ["petrol", "diesel pump", "fuel station"], "Income": ["salary", "monthly wages", "bonus pay"],
+             "Other": ["petrol bonus", "misc"]}
+    triples = [(f"{f}-{w}-{i}", f"{w} {i}x", f) for f, ws in words.items() for w in ws for i in range(4)]
+    rows = spark.createDataFrame(triples, "row_id string, text string, label string")
     model = classifier.fit(rows)
     model.save(str(tmp_path / "m"))
     loaded = classifier.load_or_fit(spark, str(tmp_path / "m"), rows)
-    texts = spark.createDataFrame([("petrol",), ("wages",), ("zzz",)], "text string")
-    out = {r.text: r for r in evaluate.top2(classifier.probabilities(loaded, texts)).collect()}
+    asks = ["petrol", "wages", "zzz", "petrol petrol bonus"]
+    texts = spark.createDataFrame([(t,) for t in asks], "text string")
+    scored = evaluate.top2(classifier.probabilities(loaded, texts))
+    out = {r.text: r for r in scored.collect()}
     assert out["petrol"].prediction == "Fuel" and out["wages"].prediction == "Income"
-    assert all(abs(sum(r.probabilities) - 1) < 1e-9 for r in out.values())
-    picked = {r.text: r.ml_family for r in classifier.accepted_families(evaluate.top2(classifier.probabilities(loaded, texts)), 0.5, 0.4).collect()}
+    classes, expected = reference_fit([t for _, t, _ in triples], [f for _, _, f in triples], asks)
+    assert out["zzz"].classes == classes
+    for text, p in zip(asks, expected):
+        assert abs(sum(out[text].probabilities) - 1) < 1e-9
+        assert out[text].probabilities == pytest.approx(list(p), abs=5e-3)
+    picked = {r.text: r.ml_family for r in classifier.accepted_families(scored, 0.4, 0.1).collect()}
     assert picked["petrol"] == "Fuel" and picked["zzz"] is None
 
 
