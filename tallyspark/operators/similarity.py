@@ -184,9 +184,18 @@ def _block_scorer(k: int):
     Built as a closure, so that it reaches the workers by value.
     """
 
+    def frame(asked: list, named: list, scores: list) -> pd.DataFrame:
+        columns = {"query": (asked, object), "reference": (named, object), "similarity": (scores, float)}
+        return pd.DataFrame(
+            {
+                name: pd.Series(np.concatenate(parts) if parts else [], dtype=kind)
+                for name, (parts, kind) in columns.items()
+            }
+        )
+
     def best(asks: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asks.empty or held.empty:
-            return pd.DataFrame({"query": [], "reference": [], "similarity": []})
+            return frame([], [], [])
         held = held.sort_values("gid", kind="stable")
         ref_code, ref_names = pd.factorize(held["reference"], sort=True)
         asks = asks.sort_values("query", kind="stable")
@@ -197,7 +206,7 @@ def _block_scorer(k: int):
         count = np.searchsorted(gids, asks["gid"].to_numpy(), "right") - start
         width = len(ref_names)
         step = max(1, CELLS // width)
-        out = []
+        asked, named, scores = [], [], []
         for low in range(0, len(ask_names), step):
             rows = slice(*np.searchsorted(ask_code, [low, low + step]))
             height = min(step, len(ask_names) - low)
@@ -211,16 +220,10 @@ def _block_scorer(k: int):
             order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
             top = np.take_along_axis(sims, order, 1)
             ask, place = np.nonzero(top > 0)
-            out.append(
-                pd.DataFrame(
-                    {
-                        "query": ask_names.to_numpy()[low + ask],
-                        "reference": ref_names.to_numpy()[order[ask, place]],
-                        "similarity": top[ask, place],
-                    }
-                )
-            )
-        return pd.concat(out)
+            asked.append(ask_names.to_numpy(dtype=object)[low + ask])
+            named.append(ref_names.to_numpy(dtype=object)[order[ask, place]])
+            scores.append(top[ask, place])
+        return frame(asked, named, scores)
 
     return best
 
