@@ -337,7 +337,8 @@ def p7(spark, sf):
 def _document_text(name: str, normalize, oracle_expr: str) -> None:
     @query(name, f"SELECT doc_id, {oracle_expr} AS cleaned FROM documents")
     def run(spark, sf):
-        return adapter.table(spark, sf, "documents").select("doc_id", normalize(F.col("text")).alias("cleaned"))
+        documents = adapter.spread(adapter.table(spark, sf, "documents"))
+        return documents.select("doc_id", normalize(F.col("text")).alias("cleaned"))
 
 
 _document_text("P8_normalize_evidence_documents", text.normalize_evidence, oracle.p8("text"))

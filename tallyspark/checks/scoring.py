@@ -157,7 +157,7 @@ part(
 )
 def e3_documents(spark, sf):
     """Whole documents, summed up per document."""
-    docs = adapter.table(spark, sf, "documents").select(
+    docs = adapter.spread(adapter.table(spark, sf, "documents")).select(
         "doc_id", text.normalize_evidence(F.col("text")).alias("t")
     ).filter("t <> ''")
     weights = similarity.char_tfidf(docs, "doc_id", "t")

@@ -40,11 +40,22 @@ DIGITS = 10
 
 
 def gram_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, gram, tf)`` of char 3-5-grams."""
+    """``(key, gram, tf)`` of char 3-5-grams.
+
+    The texts travel once, by key; both counts are then local to their task.
+    Grams are cut from each distinct word of a text and carry its count.
+    """
+    words = (
+        texts.select(key, F.col(text).alias("_text"))
+        .repartition(key)
+        .select(key, F.explode(F.split("_text", " ")).alias("word"))
+        .groupBy(key, "word")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     return (
-        texts.select(key, F.explode(char_wb_ngrams(F.col(text))).alias("gram"))
+        words.select(key, "n", F.explode(char_wb_ngrams(F.col("word"))).alias("gram"))
         .groupBy(key, "gram")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .agg(F.sum("n").alias("tf"))
     )
 
 
@@ -68,7 +79,7 @@ def unit_weights(counts: DataFrame, idf: DataFrame, key: str, tf: Column | None
 
 def char_tfidf(texts: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, gram, tf, df, idf, w)`` of texts that are their own reference."""
-    counts = gram_counts(texts, key, text)
+    counts = materialized(gram_counts(texts, key, text), "grams")
     return unit_weights(counts, idf_table(counts, texts.agg(F.count(F.lit(1))).scalar()), key)
 
 
