@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe
+from tallyspark.llm import bpe, quality_rules, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +17,22 @@ def op2_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op3_quality_rules_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.score(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to Zstandard archives and read back."""
+    records = warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe_prefix_dp": op2_bpe_prefix_dp,
+    "op3_quality_rules_gbt": op3_quality_rules_gbt,
+    "op7_warc_zstd": op7_warc_zstd,
 }
 
 ORACLES: dict[str, str] = {}
