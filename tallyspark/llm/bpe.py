@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -250,7 +251,7 @@ def encode(col: Column, path: str | None = None) -> Column:
     path = path or default_vocabulary()
 
     @F.pandas_udf("array<int>")
-    def ids(texts: "pandas.Series") -> "pandas.Series":  # noqa: F821
+    def ids(texts: pd.Series) -> pd.Series:
         return texts.map(coder(path).encode)
 
     return ids(col)
@@ -261,7 +262,7 @@ def decode(col: Column, path: str | None = None) -> Column:
     path = path or default_vocabulary()
 
     @F.pandas_udf("string")
-    def text(ids: "pandas.Series") -> "pandas.Series":  # noqa: F821
+    def text(ids: pd.Series) -> pd.Series:
         return ids.map(lambda x: coder(path).decode(None if x is None else list(x)))
 
     return text(col)
@@ -272,7 +273,7 @@ def n_tokens(col: Column, path: str | None = None) -> Column:
     path = path or default_vocabulary()
 
     @F.pandas_udf("long")
-    def count(texts: "pandas.Series") -> "pandas.Series":  # noqa: F821
+    def count(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: len(coder(path).encode(x)))
 
     return count(col)
