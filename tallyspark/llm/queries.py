@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, quality_rules, warc
+from tallyspark.llm import bpe, chat, language_model, quality_rules, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,11 +37,17 @@ def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every document."""
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe_prefix_dp": op2_bpe_prefix_dp,
     "op3_quality_rules_gbt": op3_quality_rules_gbt,
     "op4_chat_windows": op4_chat_windows,
     "op7_warc_zstd": op7_warc_zstd,
+    "op9_backoff_automaton": op9_backoff_automaton,
 }
 
 ORACLES: dict[str, str] = {}
