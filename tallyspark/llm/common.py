@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.session import scratch_path
+
 #: A side is broadcast only if a count has shown that it has at most this many rows.
 BROADCAST_ROWS = 50_000
 
@@ -24,6 +27,21 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a compressed table in the shared folder; cuts lineage and lets go of the shuffles behind it.
+
+    Spark drops the shuffle files of a finished plan when the driver collects its garbage, which a
+    driver with little to do may not do for long; asking for it keeps the disk free for what follows.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_path(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
 def by_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]):
     """A function for ``mapInArrow`` that prepares once per task and then maps batch by batch."""
 

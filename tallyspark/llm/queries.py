@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, language_model, quality_rules, warc
+from tallyspark.llm import bpe, chat, decontaminate, language_model, quality_rules, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,12 +42,18 @@ def op9_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that leaked into it."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_bpe_prefix_dp": op2_bpe_prefix_dp,
     "op3_quality_rules_gbt": op3_quality_rules_gbt,
     "op4_chat_windows": op4_chat_windows,
     "op7_warc_zstd": op7_warc_zstd,
     "op9_backoff_automaton": op9_backoff_automaton,
+    "op10_decontaminate_spaced_seeds": op10_decontaminate_spaced_seeds,
 }
 
 ORACLES: dict[str, str] = {}
