@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, decontaminate, language_model, line_dedup, quality_rules, warc
+from tallyspark.llm import bpe, chat, dart_minhash, decontaminate, language_model, line_dedup, quality_rules, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(turns))
 
 
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies."""
+    return dart_minhash.report(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the lines that stay."""
     return line_dedup.report(table(spark, sf_dir, "documents"))
@@ -56,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe_prefix_dp": op2_bpe_prefix_dp,
     "op3_quality_rules_gbt": op3_quality_rules_gbt,
     "op4_chat_windows": op4_chat_windows,
+    "op5_dart_minhash": op5_dart_minhash,
     "op6_line_dedup_minhash": op6_line_dedup_minhash,
     "op7_warc_zstd": op7_warc_zstd,
     "op9_backoff_automaton": op9_backoff_automaton,
