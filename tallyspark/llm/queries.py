@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, dart_minhash, decontaminate, language_model, line_dedup, quality_rules, warc
+from tallyspark.llm import bpe, chat, dart_minhash, decontaminate, language_model, line_dedup, pii, quality_rules, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op9_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model scores of every document."""
     return language_model.score_documents(table(spark, sf_dir, "documents"))
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op5_dart_minhash": op5_dart_minhash,
     "op6_line_dedup_minhash": op6_line_dedup_minhash,
     "op7_warc_zstd": op7_warc_zstd,
+    "op8_pii_boosting": op8_pii_boosting,
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_decontaminate_spaced_seeds": op10_decontaminate_spaced_seeds,
 }
