@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, dart_minhash, decontaminate, language_model, line_dedup, pii, quality_rules, warc
+from tallyspark.llm import bpe, chat, cotraining, dart_minhash, decontaminate, language_model, line_dedup, pii, quality_rules, warc
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by both views and together."""
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score(docs, cotraining.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document with the public byte-level vocabulary."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
@@ -63,6 +69,7 @@ def op10_decontaminate_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_cotraining": op1_quality_cotraining,
     "op2_bpe_prefix_dp": op2_bpe_prefix_dp,
     "op3_quality_rules_gbt": op3_quality_rules_gbt,
     "op4_chat_windows": op4_chat_windows,
