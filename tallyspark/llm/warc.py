@@ -212,6 +212,8 @@ class _Archives:
                 self.begin()
         else:
             self.put(record)
+        if self.out is not None and self.bytes >= self.archive_bytes:
+            self.close()
 
     def begin(self) -> None:
         self.name = f"pages-{uuid.uuid4().hex}.warc.zst"
@@ -232,8 +234,6 @@ class _Archives:
     def put(self, record: bytes) -> None:
         self.write(self.coder.compress(record))
         self.records += 1
-        if self.bytes >= self.archive_bytes:
-            self.close()
 
     def close(self) -> None:
         if self.waiting:
