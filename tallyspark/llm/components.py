@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import written
 
 
-def _sign(edges: DataFrame):
-    """Number and combined hash of the edges: equal if a round changed nothing."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Edges without loops and repeats as a written table, and their number and combined hash."""
+    seen = Observation()
+    edges = edges.filter("a <> b").select("a", "b").distinct()
+    edges = written(edges.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("all")), "edges")
+    return edges, (seen.get["n"], seen.get["all"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,20 +24,17 @@ def components(edges: DataFrame) -> DataFrame:
     are pre-aggregated, so a node with very many edges is no single task's work.  Loops and
     repeated edges do not matter; no edges give no rows.
     """
-    edges = edges.select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).filter("a <> b").select("a", "b").distinct()
-    edges = written(edges, "edges")
-    sign = _sign(edges)
-    while sign[0]:
+    edges, sign = _kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    before = None
+    while sign[0] and sign != before:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("m"))
         # Greater neighbours go to the smallest node around.
         large = both.filter("b > a").join(least, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = written(large.filter("a <> b").distinct(), "edges")
+        large = large.filter("a <> b").distinct()
         # Now every edge leads from a to a smaller b: the smaller ones and the node go to the smallest.
         smallest = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
         small = large.join(smallest, F.col("a") == F.col("node")).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        edges = written(small.filter("a <> b").distinct(), "edges")
-        before, sign = sign, _sign(edges)
-        if sign == before:
-            break
+        before = sign
+        edges, sign = _kept(small)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())

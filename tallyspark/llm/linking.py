@@ -1,10 +1,11 @@
 """Links between nodes that share a band, without the pairs of a band.
 
-In each band every member is compared with the band's least and greatest member only.  What
-a comparison leaves unconnected is compared with the least and greatest among the
-unconnected of the same band, round after round, until a round links nothing new.  So a
-band costs a number of comparisons in proportion to its size in each round; bands of two
-and three members are compared in full.
+In each band every member is compared with the band's least and greatest member only, so a
+band costs comparisons in proportion to its size; bands of two and three members are
+compared in full.  In a larger band, what is left unconnected to both ends is compared once
+more in finer bands: it shares such a band with another member if the two have one more band
+in common.  Similar nodes share many bands, hence many finer ones, while
+nodes that only have a frequent passage in common are told apart by them.
 """
 
 from __future__ import annotations
@@ -17,21 +18,35 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import broadcast_if_small, written
 from tallyspark.llm.components import components
 
+#: Of the other bands of a node one in so many, chosen by its key, makes finer bands.
+FINER = 3
+
 
 def _ends(members: DataFrame) -> DataFrame:
+    """Size and both ends of the bands with more than one node."""
     return members.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
 
 
-def _pairs(rows: DataFrame, ends: tuple[str, ...] = ("low", "high")) -> DataFrame:
+def _pairs(rows: DataFrame) -> DataFrame:
     """Distinct pairs ``a`` < ``b`` of a node and the ends of its band."""
-    out = rows.select("node", F.explode(F.array(*ends)).alias("end")).filter(F.col("node") != F.col("end"))
+    out = rows.select("node", F.explode(F.array("low", "high")).alias("end")).filter(F.col("node") != F.col("end"))
     return out.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
 
 
+def _unlinked(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (``band``, ``node``) of crowded bands that are in the component of neither end, if there are several."""
+    known = broadcast_if_small(roots)
+    rows = crowded
+    for name in ("node", "low", "high"):
+        side = known.select(F.col("node").alias("_n"), F.col("root").alias(f"{name}_root"))
+        rows = rows.join(side, F.col(name) == F.col("_n"), "left").drop("_n").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
+    return rows.filter("node_root <> low_root and node_root <> high_root").select("band", "node")
+
+
 def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``node`` and ``root`` of the nodes that are linked to others.
 
-    ``members`` has ``band`` and ``node`` and is a written table; ``verify`` keeps those of the given
+    ``members`` has ``node`` and ``band`` and is a written table; ``verify`` keeps those of the given
     pairs ``a``, ``b`` that are similar enough.
     """
     ends = written(_ends(members), "bands")
@@ -40,22 +55,13 @@ def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFr
     crowded = written(members.join(larger, "band"), "crowded")
     edges = written(verify(_pairs(two.unionByName(crowded.select("node", "low", "high")))), "links")
     roots = written(components(edges), "roots")
-    open_members = crowded
-    while True:
-        # Members whose component is neither that of the least nor that of the greatest member.
-        labelled = open_members
-        for name in ("node", "low", "high"):
-            known = roots.select(F.col("node").alias("_n"), F.col("root").alias(f"{name}_root"))
-            labelled = labelled.join(known, F.col(name) == F.col("_n"), "left").drop("_n")
-            labelled = labelled.withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
-        rest = labelled.filter("node_root <> low_root and node_root <> high_root").select("band", "node")
-        rest = written(rest, "unlinked")
-        again = rest.join(_ends(rest).drop("n"), "band")
-        open_members = written(again, "unlinked")
-        if open_members.isEmpty():
-            return roots
-        more = written(verify(_pairs(open_members)), "links")
-        if more.isEmpty():
-            return roots
-        edges = edges.union(more)
-        roots = written(components(edges), "roots")
+    rest = written(_unlinked(crowded, roots), "unlinked")
+    if rest.isEmpty():
+        return roots
+    nodes = broadcast_if_small(rest.select(F.col("node").alias("_n")).distinct())
+    others = members.join(nodes, F.col("node") == F.col("_n"), "left_semi").select("node", F.col("band").alias("other"))
+    others = others.filter(F.pmod(F.xxhash64("other"), F.lit(FINER)) == 0)
+    finer = rest.join(others, "node").filter("band <> other").select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "node")
+    finer = written(finer.distinct(), "finer")
+    more = verify(_pairs(finer.join(_ends(finer).drop("n"), "band")))
+    return written(components(edges.unionByName(more)), "roots")

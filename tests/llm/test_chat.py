@@ -54,7 +54,7 @@ def test_formatted_windows_read_back(spark):
         new = turns[w["n_repeated"] :]
         assert new, "a window shows something new"
         if w["over_budget"]:
-            assert len(new) == 1
+            assert len([r for r, _ in new if r != "system"]) == 1
         said = given[w["conv_id"]]
         if said[0][0] == "system" and said[0][1]:
             assert turns[0] == said[0]
