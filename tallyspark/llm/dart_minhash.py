@@ -226,7 +226,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "*"), "near-nodes")
     members = written(nodes.filter("n is not null").select("node", F.explode("bands").alias("band")), "near-bands")
-    roots = link(members, lambda pairs: _verified(docs, nodes, pairs, least))
+    roots = link(members, lambda pairs: _verified(docs, nodes, pairs, least), finer_share=3)
     named = nodes.select("node", "key", "first_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named, "near-named")
     first = F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "key"))

@@ -1,11 +1,12 @@
-"""Links between nodes that share a band, without the pairs of a band.
-
-In each band every member is compared with the band's least and greatest member only, so a
-band costs comparisons in proportion to its size; bands of two and three members are
-compared in full.  In a larger band, what is left unconnected to both ends is compared once
-more in finer bands: it shares such a band with another member if the two have one more band
-in common.  Similar nodes share many bands, hence many finer ones, while
-nodes that only have a frequent passage in common are told apart by them.
+"""Links between nodes that share a band, in proportion to the size of a band.
+
+First every member of a band is compared with the band's least member.  What this leaves
+unconnected is compared once more: in a band of at most ``SMALL`` members with every member
+of the band, so small bands are compared in full; in a larger one inside finer bands, which two
+members share if they have one more band in common.  Small finer bands are compared in full,
+larger ones at both ends.  Similar nodes share many bands, hence very many finer ones, while nodes
+that only have a frequent passage in common are told apart by them.  So the pairs of a large band
+are never formed: a node meets at most ``SMALL`` others in a band.
 """
 
 from __future__ import annotations
@@ -18,8 +19,7 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import broadcast_if_small, written
 from tallyspark.llm.components import components
 
-#: Of the other bands of a node one in so many, chosen by its key, makes finer bands.
-FINER = 3
+SMALL = 12
 
 
 def _ends(members: DataFrame) -> DataFrame:
@@ -28,40 +28,55 @@ def _ends(members: DataFrame) -> DataFrame:
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of a node and the ends of its band."""
-    out = rows.select("node", F.explode(F.array("low", "high")).alias("end")).filter(F.col("node") != F.col("end"))
-    return out.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
+    """Distinct pairs ``a`` < ``b`` of ``node`` and ``other``."""
+    rows = rows.filter("node <> other")
+    return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def _unlinked(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members (``band``, ``node``) of crowded bands that are in the component of neither end, if there are several."""
+    """Members of crowded bands that are not in the component of the least member."""
     known = broadcast_if_small(roots)
     rows = crowded
-    for name in ("node", "low", "high"):
+    for name in ("node", "low"):
         side = known.select(F.col("node").alias("_n"), F.col("root").alias(f"{name}_root"))
         rows = rows.join(side, F.col(name) == F.col("_n"), "left").drop("_n").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
-    return rows.filter("node_root <> low_root and node_root <> high_root").select("band", "node")
+    return rows.filter("node_root <> low_root").select("band", "node", "low", "n")
+
 
+def _finer(rest: DataFrame, members: DataFrame, share: int) -> DataFrame:
+    """Members of the bands that nodes of ``rest`` and the least members of their bands make of two bands each."""
+    rest = rest.select("band", "node").union(rest.select("band", F.col("low")).distinct())
+    nodes = broadcast_if_small(rest.select(F.col("node").alias("_n")).distinct())
+    others = members.join(nodes, F.col("node") == F.col("_n"), "left_semi").select("node", F.col("band").alias("other"))
+    others = others.filter(F.pmod(F.xxhash64("other"), F.lit(share)) == 0)
+    both = rest.join(others, "node").filter("band <> other")
+    return both.select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "node").distinct()
 
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+
+def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], finer_share: int = 1) -> DataFrame:
     """``node`` and ``root`` of the nodes that are linked to others.
 
     ``members`` has ``node`` and ``band`` and is a written table; ``verify`` keeps those of the given
-    pairs ``a``, ``b`` that are similar enough.
+    pairs ``a``, ``b`` that are similar enough.  Of the other bands of a node one in ``finer_share``,
+    chosen by its key, makes finer bands.
     """
     ends = written(_ends(members), "bands")
-    two = ends.filter("n = 2").select(F.col("low").alias("node"), "low", "high")
-    larger = broadcast_if_small(ends.filter("n > 2").drop("n"))
-    crowded = written(members.join(larger, "band"), "crowded")
-    edges = written(verify(_pairs(two.unionByName(crowded.select("node", "low", "high")))), "links")
+    two = ends.filter("n = 2").select(F.col("high").alias("node"), F.col("low").alias("other"))
+    larger = broadcast_if_small(ends.filter("n > 2").select("band", "low", "n"))
+    crowded = written(members.join(larger, "band").select("band", "node", "low", "n"), "crowded")
+    edges = written(verify(_pairs(two.union(crowded.select("node", "low")))), "links")
     roots = written(components(edges), "roots")
     rest = written(_unlinked(crowded, roots), "unlinked")
     if rest.isEmpty():
         return roots
-    nodes = broadcast_if_small(rest.select(F.col("node").alias("_n")).distinct())
-    others = members.join(nodes, F.col("node") == F.col("_n"), "left_semi").select("node", F.col("band").alias("other"))
-    others = others.filter(F.pmod(F.xxhash64("other"), F.lit(FINER)) == 0)
-    finer = rest.join(others, "node").filter("band <> other").select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "node")
-    finer = written(finer.distinct(), "finer")
-    more = verify(_pairs(finer.join(_ends(finer).drop("n"), "band")))
+    few = crowded.filter(F.col("n") <= SMALL).select("band", F.col("node").alias("other"))
+    pairs = rest.select("band", "node").join(few, "band").select("node", "other")
+    many = rest.filter(F.col("n") > SMALL)
+    if not many.isEmpty():
+        finer = written(_finer(many, members, finer_share), "finer")
+        held = finer.join(_ends(finer), "band")
+        small = written(held.filter(F.col("n") <= SMALL).select("band", "node"), "finer-small")
+        wide = held.filter(F.col("n") > SMALL).select("node", F.explode(F.array("low", "high")).alias("other"))
+        pairs = pairs.union(small.join(small.select("band", F.col("node").alias("other")), "band").select("node", "other")).union(wide)
+    more = verify(_pairs(pairs))
     return written(components(edges.unionByName(more)), "roots")
