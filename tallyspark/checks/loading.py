@@ -337,7 +337,7 @@ def p7(spark, sf):
 def _document_text(name: str, normalize, oracle_expr: str) -> None:
     @query(name, f"SELECT doc_id, {oracle_expr} AS cleaned FROM documents")
     def run(spark, sf):
-        documents = adapter.spread(adapter.table(spark, sf, "documents"))
+        documents = adapter.table(spark, sf, "documents")
         return documents.select("doc_id", normalize(F.col("text")).alias("cleaned"))
 
 
@@ -710,7 +710,7 @@ def src_stream_json(spark, sf):
     """The messages as files of JSON lines, read as a stream into the keyed loader."""
     root = scratch_path(spark, "stream")
     adapter.messages(spark, sf).select("value").write.text(f"{root}/in")
-    loader = stream.MessageLoader(f"{root}/rows", f"{root}/dead")
+    loader = stream.MessageLoader(f"{root}/rows", f"{root}/dead", order=["value"])
     loader.start(
         readers.read_message_files(spark, f"{root}/in"), f"{root}/checkpoint", available_now=True
     ).awaitTermination()

@@ -333,12 +333,12 @@ _RANK = "CASE risk_level WHEN 'SAFE_CANDIDATE' THEN 0 WHEN 'REVIEW_CANDIDATE' TH
     sql(
         ["proposals"],
         f"""SELECT description, vch_type, proposed_family, risk_level FROM proposals
-            ORDER BY {_RANK}, transaction_support DESC, source_category_purity DESC, description, vch_type LIMIT 100""",
+            ORDER BY {_RANK}, transaction_support DESC, source_category_purity DESC, description, vch_type""",
     ),
 )
 def g11(spark, sf):
     ordered = taxonomy.review_order(taxonomy.proposal_groups(labelled(spark, sf)))
-    return ordered.limit(100).select("description", "vch_type", "proposed_family", "risk_level")
+    return ordered.select("description", "vch_type", "proposed_family", "risk_level")
 
 
 _UNION = f"""SELECT CAST(voucher_id AS BIGINT) AS voucher_id, vch_desc, canonical_id,

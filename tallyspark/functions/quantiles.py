@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 # Up to this many distinct values the built-in exact percentile fits in one aggregate buffer.
 DISTINCT_LIMIT = 1_000_000
 BINS = 4_096
+MOST = 1.7976931348623157e308
 
 
 def exact_quantiles(
     df: DataFrame, column: str, qs: Sequence[float], distinct_limit: int = DISTINCT_LIMIT
 ) -> list[float | None]:
-    """Linearly interpolated quantiles of a numeric column.
+    """Linearly interpolated quantiles of a numeric column; NULL and NaN do not count.
 
     With many distinct values the wanted ranks are located by counting ever
     narrower value ranges, so no task ever holds the values themselves.
     """
-    value = F.col(column).cast("double")
+    value = F.nullif(F.col(column).cast("double"), F.lit(float("nan")))
     facts = df.agg(
         F.count(value).alias("n"),
         F.approx_count_distinct(value).alias("d"),
@@ -53,7 +54,25 @@ def exact_quantiles(
 def _value_at(df: DataFrame, value, rank: int, lo: float, hi: float) -> float:
     """The value with the given 0-based rank: refine a histogram until one value is left."""
     while lo < hi:
-        bin_of = F.least(F.floor((value - lo) / ((hi - lo) / BINS)), F.lit(BINS - 1))
+        if math.isinf(lo) or math.isinf(hi):
+            # An infinite end is counted by itself; the finite rest is refined.
+            ends = df.agg(
+                F.count(F.when(value == -math.inf, 1)).alias("below"),
+                F.count(F.when(value.between(-MOST, MOST), 1)).alias("finite"),
+                F.min(F.when(value.between(-MOST, MOST), value)).alias("lo"),
+                F.max(F.when(value.between(-MOST, MOST), value)).alias("hi"),
+            ).first()
+            if rank < ends.below:
+                return -math.inf
+            rank -= ends.below
+            if rank >= ends.finite:
+                return math.inf
+            lo, hi = ends.lo, ends.hi
+            continue
+        width = (hi / BINS) - (lo / BINS)  # no overflow at the ends of the range
+        if not width:
+            width = math.ulp(0.0)
+        bin_of = F.least(F.floor((value - lo) / width), F.lit(BINS - 1))
         bins = (
             df.filter(value.between(lo, hi))
             .groupBy(bin_of.alias("bin"))

@@ -7,6 +7,7 @@ texts that were cleaned in its own way.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -139,9 +140,18 @@ def char_wb_ngrams(col: Column, low: int = 3, high: int = 5) -> Column:
     return F.concat(*[F.flatten(F.transform(padded, of_length(n))) for n in range(low, high + 1)])
 
 
-# Accented Latin letters and their plain forms.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+def _plain_letters() -> dict[str, str]:
+    """Lower-case letters that decompose into a base letter and marks -> the base letter."""
+    found = {}
+    for code in range(0xC0, 0x1F00):
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and parts[0].isalpha() and all(unicodedata.combining(c) for c in parts[1:]):
+            found[chr(code)] = parts[0]
+    return found
+
+
+PLAIN_LETTERS = _plain_letters()
+ACCENTED, PLAIN = "".join(PLAIN_LETTERS), "".join(PLAIN_LETTERS.values())
 
 
 def classifier_tokens(col: Column) -> Column:

@@ -12,14 +12,20 @@ BATCH_TYPES = ("Expense", "Income", "Transfer")
 INCREMENTAL_TYPES = ("Income", "Expense")
 
 # Accepted date layouts, tried in order.
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd")
+DATE_FORMATS = (
+    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss.SSS",
+    "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+    "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy", "MM/dd/yyyy HH:mm", "MM/dd/yyyy HH:mm:ss",
+)
 
 
 def to_number(col: Column, dtype: str = "double") -> Column:
-    """Number or NULL.  Whole-number types accept ``"5.0"`` as 5."""
+    """Number or NULL.  Whole-number types accept ``"5.0"`` as 5; ``"5.7"`` is no whole number, hence NULL."""
     value = text.strip(col.cast("string"))
     if dtype in ("bigint", "long", "int"):
-        return value.try_cast("decimal(38,6)").try_cast(dtype)
+        exact = value.try_cast("decimal(38,6)")
+        return F.when(exact == F.floor(exact), exact).try_cast(dtype)
     return value.try_cast(dtype)
 
 

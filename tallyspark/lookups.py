@@ -50,20 +50,7 @@ CROSSWALK_V1_V2 = {
     2010: 2009,
 }
 
-# Subcategories and seed terms of the v1 taxonomy.
-SUBCATEGORIES_V1 = {
-    2001: ["Restaurants", "Fast Food", "Meals"],
-    2002: ["Petrol", "Diesel", "CNG"],
-    2003: ["Ride-sharing", "Parking", "Tolls", "Taxi"],
-    2004: ["Electricity", "Water", "Internet/Telecom"],
-    2005: ["Medicine", "Doctor", "Hospital"],
-    2006: ["Clothing", "General Shopping", "Retail"],
-    2007: ["Cash Withdrawal", "Transfers", "ATM"],
-    2008: ["Salary", "Interest", "Deposits"],
-    2009: ["Groceries", "Bakery/Dairy", "Vegetables/Fruits"],
-    2010: ["Miscellaneous"],
-}
-
+# Seed terms of the v1 taxonomy.
 SEED_TERMS_V1 = {
     2001: [
         "food", "dinner", "lunch", "breakfast", "roti", "biryani", "pizza", "burger", "kfc",

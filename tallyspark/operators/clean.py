@@ -41,7 +41,7 @@ def numbers(df: DataFrame) -> DataFrame:
     typed["vch_amount"] = values.money(F.col("vch_amount"))
     typed["fc_amount"] = values.money(F.col("fc_amount"))
     typed["fc_rate"] = values.rate(F.col("fc_rate"))
-    typed["category_id"] = text.strip(F.col("category_id")).try_cast("decimal(38,0)")
+    typed["category_id"] = text.strip(F.col("category_id")).try_cast(schemas.CATEGORY_ID)
     return df.withColumns(typed)
 
 

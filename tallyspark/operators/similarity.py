@@ -1,7 +1,9 @@
 """Nearest reference texts and vectors, exactly, as distributed joins.
 
-Nothing emits all pairs of a group, and nothing is capped or sampled.  Both
-kinds of search work the same way:
+Nothing is capped or sampled.  Both kinds of search work the same way; how
+many blocks the bounds rule out depends on the data.  Where vectors do not cluster,
+the bounds of the exact search rule out few, and its work then grows with queries times
+references, as dense block products:
 
 1. References are cut into blocks of bounded size that hold similar ones:
    neighbouring texts in sort order, or vectors around a pivot.
@@ -301,8 +303,9 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def unit_vector(v: Column) -> Column:
+    """The vector at length 1; NULL for a vector of zeros, which has no direction."""
     size = F.sqrt(dot(v, v))
-    return F.transform(v, lambda x: x.cast("double") / size)
+    return F.when(size > 0, F.transform(v, lambda x: x.cast("double") / size))
 
 
 def nearest_vectors(
@@ -312,8 +315,10 @@ def nearest_vectors(
 
     ``queries`` has ``query, vector`` and ``references`` has ``reference,
     vector``.  Only groups of references whose angle bound can still reach a
-    query's k-th best similarity are compared with it.
+    query's k-th best similarity are compared with it.  A NULL vector is no
+    reference and finds none.
     """
+    queries, references = queries.filter("vector is not null"), references.filter("vector is not null")
     # At most `pivots` vectors reach the driver, whatever the table's size.
     centres = [
         r.vector
@@ -354,7 +359,7 @@ def nearest_vectors(
         "dense-bounds",
     )
     first = top_k(asked, "query", [F.desc("reach"), F.asc("cell")], 3).drop("rank")
-    tried = materialized(_dense_scores(first, queries, refs), "dense-first")
+    tried = materialized(_dense_scores(first, queries, refs, k), "dense-first")
     bound = kth_best(tried, "query", "similarity", k)
     more = (
         asked.join(first.select("query", "cell"), ["query", "cell"], "left_anti")
@@ -362,16 +367,17 @@ def nearest_vectors(
         .filter(F.col("reach") >= F.coalesce(F.col("bound"), F.lit(-2.0)) - EPS)
         .drop("bound")
     )
-    scores = tried.unionByName(_dense_scores(more, queries, refs)).withColumn(
+    scores = tried.unionByName(_dense_scores(more, queries, refs, k)).withColumn(
         "similarity", F.round("similarity", DIGITS)
     )
     return top_k(scores, "query", [F.desc("similarity"), F.asc("reference")], k)
 
 
-def _dense_scores(wanted: DataFrame, queries: DataFrame, refs: DataFrame) -> DataFrame:
-    """Similarities of queries with all references of the wanted cells.
+def _dense_scores(wanted: DataFrame, queries: DataFrame, refs: DataFrame, k: int) -> DataFrame:
+    """The k best similarities (and ties) of queries in each bucket of the wanted cells.
 
-    Crowded cells are cut into buckets by reference; a crowd of queries is cut likewise.
+    Crowded cells are cut into buckets by reference; a crowd of queries is cut likewise.  Each
+    pair of buckets is one matrix product, and only its best rows leave the task.
     """
     crowd = wanted.groupBy("cell").agg(
         F.count(F.lit(1)).alias("uses"), F.max("rows").alias("rows")
@@ -394,8 +400,26 @@ def _dense_scores(wanted: DataFrame, queries: DataFrame, refs: DataFrame) -> Dat
         .withColumn("qs", F.explode(F.sequence(F.lit(0), parts("uses") - 1)))
         .select("reference", "rv", "cell", "qs", "rs")
     )
-    return left.join(right, ["cell", "qs", "rs"]).select(
-        "query", "reference", dot(F.col("vector"), F.col("rv")).alias("similarity")
+    kinds = {f.name: f.dataType.simpleString() for f in (*queries.schema.fields, *refs.schema.fields)}
+
+    def product(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty or known.empty:
+            return pd.DataFrame({"query": asked["query"][:0], "reference": known["reference"][:0], "similarity": []})
+        block = np.stack(asked["vector"].to_numpy()).astype(float) @ np.stack(known["rv"].to_numpy()).astype(float).T
+        at = max(block.shape[1] - k, 0)
+        least = np.partition(block, at, axis=1)[:, at]
+        rows, columns = np.nonzero(block >= least[:, None] - EPS)
+        return pd.DataFrame(
+            {
+                "query": asked["query"].to_numpy()[rows],
+                "reference": known["reference"].to_numpy()[columns],
+                "similarity": block[rows, columns],
+            }
+        )
+
+    keys = ["cell", "qs", "rs"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+        product, f"query {kinds['query']}, reference {kinds['reference']}, similarity double"
     )
 
 

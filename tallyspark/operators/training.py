@@ -159,10 +159,6 @@ def training_set(union: DataFrame, cap: int = lookups.MAX_PER_CLASS, seed: int =
     )
 
 
-def ordered(training: DataFrame) -> DataFrame:
-    return training.orderBy("canonical_id", "canonical_family", F.asc_nulls_last("vch_desc"))
-
-
 def training_summary(
     categorized: DataFrame, union: DataFrame, training: DataFrame, cap: int = lookups.MAX_PER_CLASS
 ) -> DataFrame:

@@ -184,7 +184,3 @@ def validate(table: DataFrame, as_of: Column, log_path: str | None = None) -> Da
         )
         sinks.append_log(status.select(*row), log_path)
     return checks
-
-
-def default_approved(spark) -> DataFrame:
-    return lookups.approved_mappings(spark)

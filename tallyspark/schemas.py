@@ -14,6 +14,7 @@ RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS]
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(18,6)"
+CATEGORY_ID = "decimal(38,6)"
 
 FLAGS = [
     "missing_description", "missing_transaction_date", "negative_amount", "zero_amount",
@@ -26,7 +27,7 @@ PRODUCTION_DDL = (
     " transaction_month int, transaction_day int, created_on timestamp_ntz,"
     " description string, foreign_currency_amount decimal(18,2),"
     " foreign_currency_rate decimal(18,6), account_id long,"
-    " record_created_on timestamp_ntz, original_category_id decimal(38,0),"
+    " record_created_on timestamp_ntz, original_category_id decimal(38,6),"
     " use_case_title string, missing_description boolean,"
     " missing_transaction_date boolean, negative_amount boolean, zero_amount boolean,"
     " invalid_transaction_type boolean, future_transaction_date boolean"

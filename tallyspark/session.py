@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,11 +29,14 @@ def local_session(cores: int | str = 8, memory: str = "12g", partitions: int = 8
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder every executor can reach.
 
-    ``spark.checkpoint.dir`` wins; a temporary folder is used only where the
-    session sets none, as in local tests.
+    ``spark.checkpoint.dir`` wins; a temporary folder is used only by a local
+    session that sets none, as in tests.  A cluster without the setting is refused:
+    each of its executors would write to a disk of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _local_dirs:
             _local_dirs[app] = tempfile.mkdtemp(prefix="tallyspark-")

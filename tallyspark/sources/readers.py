@@ -11,13 +11,19 @@ from pyspark.sql import types as T
 from tallyspark import schemas
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str = schemas.RAW) -> DataFrame:
-    """Delimited file with a header row; every column is text unless the schema says more."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str = schemas.RAW, multi_line: bool = True
+) -> DataFrame:
+    """Delimited file with a header row; every column is text unless the schema says more.
+
+    With ``multi_line`` a quoted value may hold line breaks, and each file is read by one
+    task.  Without it files are split, which is right only where no value holds a line break.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )

@@ -68,11 +68,6 @@ def rejected(validated: DataFrame) -> DataFrame:
     return validated.filter("reject_reason is not null").select("value", "reject_reason")
 
 
-def first_messages(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """The first message per key in arrival order."""
-    return first_per_key(rows, ["voucher_id"], order)
-
-
 def insert_outcome(good: DataFrame, target: DataFrame, order: list[Column]) -> DataFrame:
     """Every good message with INSERTED or SKIPPED: a key the target or an earlier message has is skipped.
 
@@ -97,13 +92,17 @@ class MessageLoader:
     """``foreachBatch`` sink with two outputs: new rows by key and dead letters.
 
     Each batch writes its own folder with overwrite, so a batch that is
-    replayed after a failure leaves the same rows once.
+    replayed after a failure leaves the same rows once.  ``order`` names the
+    columns of the stream by which the first message of a key is known: partition and
+    offset of a topic, or a sequence number.
     """
 
-    def __init__(self, target: str, dead_letters: str, order: list[str] | None = None):
+    def __init__(self, target: str, dead_letters: str, order: list[str]):
         self.target = target.rstrip("/")
         self.dead_letters = dead_letters.rstrip("/")
-        self.order = order or ["value"]
+        if not order:
+            raise ValueError("name the columns that say which message came first")
+        self.order = order
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Rows loaded so far, optionally only by batches before the given one."""

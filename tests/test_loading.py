@@ -167,7 +167,7 @@ def write_lines(path, name, rows):
 def test_stream_equals_batch_replay(spark, tmp_path):
     source = tmp_path / "in"
     write_lines(source, "a.json", [GOOD, {**GOOD, "voucher_id": 2}, "{bad", {**GOOD, "amount": 99}])
-    loader = stream.MessageLoader(str(tmp_path / "rows"), str(tmp_path / "dead"))
+    loader = stream.MessageLoader(str(tmp_path / "rows"), str(tmp_path / "dead"), order=["value"])
 
     def run():
         loader.start(

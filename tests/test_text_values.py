@@ -136,3 +136,34 @@ def test_exact_quantiles(spark, limit):
     expected = statistics.quantiles(data, n=4, method="inclusive")
     assert [q25, q50, q75] == pytest.approx(expected)
     assert quantiles.exact_quantiles(df.limit(0), "x", [0.5]) == [None]
+
+
+def test_more_date_layouts(spark):
+    texts = [
+        ("2024-01-01 12:30:00.123456", "2024-01-01 12:30:00.123456"), ("2024-01-01T12:30:00Z", "2024-01-01 12:30:00"),
+        ("2024-01-01T12:30:00+02:00", "2024-01-01 10:30:00"), ("2024-01-01 12:30", "2024-01-01 12:30:00"), ("01/02/2024", "2024-01-02 00:00:00"),
+        ("2024-13-01", None), ("soon", None),
+    ]
+    df = spark.createDataFrame(texts, "t string, want string")
+    assert all(r.got == r.want for r in df.select("want", values.to_timestamp(F.col("t")).cast("string").alias("got")).collect())
+
+
+def test_whole_numbers_are_not_cut(spark):
+    df = spark.createDataFrame([("5.0", 5), ("5.7", None), (" 7 ", 7), ("x", None)], "t string, want long")
+    assert all(r.got == r.want for r in df.select("want", values.to_number(F.col("t"), "bigint").alias("got")).collect())
+
+
+def test_quantiles_treat_nan_alike_at_any_size(spark):
+    inf = float("inf")
+    for extra in ([], [float("nan")], [None], [inf, -inf], [1e308, -1e308], [5e-324]):
+        numbers = [float(i) for i in range(100)] + extra
+        df = spark.createDataFrame([(x,) for x in numbers], "x double")
+        clean = sorted(x for x in numbers if x is not None and x == x)
+        few = quantiles.exact_quantiles(df, "x", [0.25, 0.5, 0.75])
+        many = quantiles.exact_quantiles(df, "x", [0.25, 0.5, 0.75], distinct_limit=10)
+        assert few == many, extra
+        assert clean[24] <= few[0] <= clean[26]
+
+
+def test_all_composed_letters_lose_their_marks():
+    assert text.PLAIN_LETTERS["ế"] == "e" and text.PLAIN_LETTERS["ç"] == "c" and len(text.PLAIN_LETTERS) > 400
