@@ -157,7 +157,8 @@ def _collected(docs: DataFrame, chosen: DataFrame) -> tuple[dict[str, np.ndarray
     rows = _inputs(docs).join(ids, F.col("doc_id") == F.col("id"), "left_semi")
     made = rows.mapInArrow(by_batch(make), "doc_id long, text array<float>, meta array<float>").dropDuplicates(["doc_id"])
     got = made.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).collect()
-    x = {v: np.array([r[v] for r in got], np.float32).reshape(len(got), -1) for v in VIEWS}
+    sizes = {"text": TEXT_SIZE, "meta": META_SIZE}
+    x = {v: np.array([r[v] for r in got], np.float32).reshape(len(got), sizes[v]) for v in VIEWS}
     return x, got
 
 
