@@ -152,8 +152,8 @@ def fit(rows: DataFrame, max_iter: int = 2000) -> TextModel:
 
 
 def load_or_fit(spark: SparkSession, path: str, rows: DataFrame) -> TextModel:
-    """The saved model if there is one, else fit from the training rows and save."""
-    if path_exists(spark, f"{path}/terms"):
+    """The saved model if there is a whole one, else fit from the training rows and save."""
+    if path_exists(spark, f"{path}/classes/_SUCCESS"):  # written last
         return TextModel.load(spark, path)
     fit(rows).save(path)
     return TextModel.load(spark, path)

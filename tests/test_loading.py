@@ -185,3 +185,16 @@ def test_stream_equals_batch_replay(spark, tmp_path):
     batch = spark.read.text(str(source / "b.json"))
     loader(batch, 1)
     assert {r.voucher_id for r in loader.read(spark).collect()} == {1, 2, 3}
+
+
+def test_quoted_line_breaks_survive(spark, tmp_path):
+    rows = [("1", 'two\nlines, "quoted"'), ("2", "plain")]
+    df = spark.createDataFrame(rows, "id string, vch_desc string")
+    sinks.write_table(df, str(tmp_path / "t"), fmt="csv")
+    got = readers.read_csv(spark, str(tmp_path / "t"), "id string, vch_desc string").collect()
+    assert sorted(tuple(r) for r in got) == rows
+
+
+def test_the_loader_asks_for_an_order(tmp_path):
+    with pytest.raises(ValueError):
+        stream.MessageLoader(str(tmp_path / "rows"), str(tmp_path / "dead"), order=[])
