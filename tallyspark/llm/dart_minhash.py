@@ -11,8 +11,8 @@ most of the time; where one is left empty, the rank is doubled.  So a signature
 proportion to the words of the text plus the number of darts, whatever the number of coordinates.
 
 Texts with equal bytes are one node.  Coordinates are cut into bands; nodes that share a band are
-compared as ``linking`` describes: first by the share of equal coordinates (a pair of similarity
-0.8 falls below the limit in less than one of 10^6 cases), then exactly.
+compared as ``linking`` describes, in bands of any size: first by the share of equal coordinates (a
+pair of similarity 0.8 falls below the limit in less than one of 10^6 cases), then exactly.
 
 Defined results: a null text is empty; texts without words are only grouped with equal texts; a
 text of fewer than five words has one shingle; a class is named by its smallest doc_id
@@ -38,6 +38,8 @@ BANDS, ROWS = 24, 5
 COORDINATES = BANDS * ROWS
 #: Share of equal coordinates below which a pair is not compared exactly.
 LIKELY = 0.6
+#: Shares at which the pairs of crowded bands are compared exactly, one after the other.
+STEPS = (0.8, 0.7, LIKELY)
 INVOLVED_ROWS = 200_000
 
 # Odd multipliers of the hashes.
@@ -188,6 +190,29 @@ def _likely(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(by_batch(make), "a long, b long")
 
 
+def _near(tiles: DataFrame, least: float, below: float) -> DataFrame:
+    """Pairs of different roots, one from each side of a row, whose share of equal coordinates is in the range."""
+
+    def make():
+        def side(items: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            node, root, short = items.flatten()
+            return node.to_numpy(), root.to_numpy(), np.frombuffer(b"".join(short.to_pylist()), np.uint16).reshape(-1, COORDINATES)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64),) * 2]
+            for left, right in zip(batch.column(0), batch.column(1)):
+                (nodes, roots, shorts), (others, other_roots, other_shorts) = side(left.values), side(right.values)
+                for node, root, short in zip(nodes, roots, shorts):
+                    share = (other_shorts == short).mean(1)
+                    near = others[(share >= least) & (share < below) & (other_roots != root)]
+                    found.append((np.full(len(near), node), near))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["node", "other"])
+
+        return step
+
+    return tiles.mapInArrow(by_batch(make), "node long, other long")
+
+
 def _similar(pairs: DataFrame, least: float) -> DataFrame:
     """Pairs whose texts are exactly that similar."""
 
@@ -226,7 +251,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "*"), "near-nodes")
     members = written(nodes.filter("n is not null").select("node", F.explode("bands").alias("band")), "near-bands")
-    roots = link(members, lambda pairs: _verified(docs, nodes, pairs, least), finer_share=3)
+    sketch = lambda some: nodes.select("node", F.col("short").alias("sketch")).join(broadcast_if_small(some, INVOLVED_ROWS), "node")
+    roots = link(members, lambda pairs: _verified(docs, nodes, pairs, least), sketch, _near, STEPS)
     named = nodes.select("node", "key", "first_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named, "near-named")
     first = F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "key"))

@@ -1,17 +1,20 @@
-"""Links between nodes that share a band, in proportion to the size of a band.
-
-First every member of a band is compared with the band's least member.  What this leaves
-unconnected is compared once more: in a band of at most ``SMALL`` members with every member
-of the band, so small bands are compared in full; in a larger one inside finer bands, which two
-members share if they have one more band in common.  Small finer bands are compared in full,
-larger ones at both ends.  Similar nodes share many bands, hence very many finer ones, while nodes
-that only have a frequent passage in common are told apart by them.  So the pairs of a large band
-are never formed: a node meets at most ``SMALL`` others in a band.
+"""Links between all similar nodes that share a band.
+
+First every member of a band is compared with the band's least member.  This ties groups of
+near copies together, and members of one component need no comparison any more.  Then the
+pairs of a band that lie in different components are all looked at: the members are dealt into
+tiles of about ``TILE``, each two tiles of a band are one row, and the caller's ``near`` picks the
+pairs of a row whose sketches agree in a share of places.  They are verified from the largest
+shares to the smallest, a step of shares at a time, and what a step has tied together is left
+out of the next.  So each pair that shares a band, and whose sketches agree enough, is
+verified or in one component already; none is lost to the size of its band.  Rows are formed
+for pairs of tiles and for pairs of alike sketches only; comparing sketches takes time with
+the square of the members of a band that stay in different components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import broadcast_if_small, written
 from tallyspark.llm.components import components
 
-SMALL = 12
+TILE = 256
 
 
 def _ends(members: DataFrame) -> DataFrame:
@@ -33,32 +36,37 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _unlinked(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of crowded bands that are not in the component of the least member."""
-    known = broadcast_if_small(roots)
-    rows = crowded
-    for name in ("node", "low"):
-        side = known.select(F.col("node").alias("_n"), F.col("root").alias(f"{name}_root"))
-        rows = rows.join(side, F.col(name) == F.col("_n"), "left").drop("_n").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
-    return rows.filter("node_root <> low_root").select("band", "node", "low", "n")
+def _open(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their ``root``, of the bands that hold more than one component."""
+    rows = crowded.select("band", "node", "n").join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rows.groupBy("band").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first <> last").select("band")
+    return rows.join(broadcast_if_small(written(several, "open-bands")), "band").select("band", "node", "root", "n")
 
 
-def _finer(rest: DataFrame, members: DataFrame, share: int) -> DataFrame:
-    """Members of the bands that nodes of ``rest`` and the least members of their bands make of two bands each."""
-    rest = rest.select("band", "node").union(rest.select("band", F.col("low")).distinct())
-    nodes = broadcast_if_small(rest.select(F.col("node").alias("_n")).distinct())
-    others = members.join(nodes, F.col("node") == F.col("_n"), "left_semi").select("node", F.col("band").alias("other"))
-    others = others.filter(F.pmod(F.xxhash64("other"), F.lit(share)) == 0)
-    both = rest.join(others, "node").filter("band <> other")
-    return both.select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "node").distinct()
+def _tiles(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``left`` and ``right``, arrays of ``node``, ``root`` and ``sketch``: each two tiles of a band that hold different roots."""
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / TILE))
+    items = F.collect_list(F.struct("node", "root", "sketch")).alias("items")
+    dealt = rows.withColumn("part", part).join(sketches, "node")
+    tiles = written(dealt.groupBy("band", "part").agg(items, F.min("root").alias("first"), F.max("root").alias("last")), "tiles")
+    left, right = (tiles.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("part", "items", "first", "last")]) for side in ("l", "r"))
+    both = left.join(right, "band").filter("part_l <= part_r and least(first_l, first_r) <> greatest(last_l, last_r)")
+    return both.select(F.col("items_l").alias("left"), F.col("items_r").alias("right"))
 
 
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], finer_share: int = 1) -> DataFrame:
+def link(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    sketch: Callable[[DataFrame], DataFrame],
+    near: Callable[[DataFrame, float, float], DataFrame],
+    steps: Sequence[float],
+) -> DataFrame:
     """``node`` and ``root`` of the nodes that are linked to others.
 
     ``members`` has ``node`` and ``band`` and is a written table; ``verify`` keeps those of the given
-    pairs ``a``, ``b`` that are similar enough.  Of the other bands of a node one in ``finer_share``,
-    chosen by its key, makes finer bands.
+    pairs ``a``, ``b`` that are similar enough.  ``sketch`` gives ``node`` and ``sketch`` of the given nodes; ``near``
+    gives the pairs ``node``, ``other`` of different roots in rows of ``left`` and ``right`` whose sketches agree in a share from the
+    first number on and below the second.  ``steps`` are falling shares; pairs below the last are not similar.
     """
     ends = written(_ends(members), "bands")
     two = ends.filter("n = 2").select(F.col("high").alias("node"), F.col("low").alias("other"))
@@ -66,17 +74,16 @@ def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], finer_sha
     crowded = written(members.join(larger, "band").select("band", "node", "low", "n"), "crowded")
     edges = written(verify(_pairs(two.union(crowded.select("node", "low")))), "links")
     roots = written(components(edges), "roots")
-    rest = written(_unlinked(crowded, roots), "unlinked")
-    if rest.isEmpty():
-        return roots
-    few = crowded.filter(F.col("n") <= SMALL).select("band", F.col("node").alias("other"))
-    pairs = rest.select("band", "node").join(few, "band").select("node", "other")
-    many = rest.filter(F.col("n") > SMALL)
-    if not many.isEmpty():
-        finer = written(_finer(many, members, finer_share), "finer")
-        held = finer.join(_ends(finer), "band")
-        small = written(held.filter(F.col("n") <= SMALL).select("band", "node"), "finer-small")
-        wide = held.filter(F.col("n") > SMALL).select("node", F.explode(F.array("low", "high")).alias("other"))
-        pairs = pairs.union(small.join(small.select("band", F.col("node").alias("other")), "band").select("node", "other")).union(wide)
-    more = verify(_pairs(pairs))
-    return written(components(edges.unionByName(more)), "roots")
+    sketches = None
+    for least, below in zip(steps, [2.0, *steps]):
+        crowded = written(_open(crowded, roots), "open")
+        if crowded.isEmpty():
+            break
+        if sketches is None:
+            sketches = written(sketch(crowded.select("node").distinct()), "sketches")
+        pairs = written(_pairs(near(_tiles(crowded, sketches), least, below)), "alike")
+        if pairs.isEmpty():
+            continue
+        edges = written(edges.unionByName(verify(pairs)), "links")
+        roots = written(components(edges), "roots")
+    return roots

@@ -81,3 +81,20 @@ def test_unusual_rows(spark):
     assert got == {(None, 4, 2), (4, 4, 2), (3, 3, 3), (8, 3, 3), (9, 9, 1)}
     assert sorted(r["doc_id"] for r in dm.keep_one(docs).collect()) == [3, 4, 9]
     assert dm.report(docs.limit(0)).count() == 0
+
+
+def test_star_group_in_crowded_bands_equals_brute_force(spark):
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(400)]
+    docs = []
+    for c in range(300):
+        new = list(base)
+        at = rng.randrange(6, 14)
+        for k in range(6):  # each change spoils five shingles: 370 of 430 stay, and about 0.75 of two copies
+            new[(at + 65 * k + rng.randrange(50)) % 400] = f"c{c}x{k}"
+        docs.append((c, " ".join(new)))
+    docs.insert(150, (1000, " ".join(base)))
+    assert min(dm.similarity(docs[150][1], t) for _, t in docs) >= 0.8
+    assert np.mean([dm.similarity(docs[0][1], t) >= 0.8 for _, t in docs[1:]]) < 0.5
+    got = [r["class_id"] for r in dm.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert set(got) == {0}
