@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import bpe, chat, cotraining, dart_minhash, decontaminate, language_model, line_dedup, pii, quality_rules, warc
+from tallyspark.llm import (
+    bpe,
+    chat,
+    cotraining,
+    dart_minhash,
+    decontaminate,
+    divergence,
+    language_model,
+    line_dedup,
+    pii,
+    quality_rules,
+    secret_scan,
+    vector_codes,
+    warc,
+)
 from tallyspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +82,21 @@ def op10_decontaminate_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFra
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the terms of each source differ from those of the other sources of its language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by codebooks trained on all of them."""
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_cotraining": op1_quality_cotraining,
     "op2_bpe_prefix_dp": op2_bpe_prefix_dp,
@@ -79,6 +108,9 @@ QUERIES: dict[str, Query] = {
     "op8_pii_boosting": op8_pii_boosting,
     "op9_backoff_automaton": op9_backoff_automaton,
     "op10_decontaminate_spaced_seeds": op10_decontaminate_spaced_seeds,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_secret_scan": op13_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_source_divergence": divergence.ORACLE, "op12_vector_codes": vector_codes.ORACLE}
