@@ -50,12 +50,19 @@ def _groups_of(docs: DataFrame) -> DataFrame:
 
 
 def collapsed(docs: DataFrame) -> DataFrame:
-    """``lang``, ``text`` and ``copies`` (structs of ``source`` and ``n``), one row for each different text of a language."""
+    """``lang``, ``text`` and ``copies`` (structs of ``source`` and ``n``), one row for each different text of a language.
+
+    Only texts that occur more than once are shuffled, if the keys of these are few enough to be sent to all tasks.
+    """
     rows = _groups_of(docs)
+    repeated = rows.groupBy("lang", "key").agg(F.count("*").alias("n")).filter("n > 1").select("lang", "key")
+    repeated = broadcast_if_small(written(repeated, "divergence-repeated"))
+    single = rows.join(repeated, ["lang", "key"], "left_anti").select("lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("n"))).alias("copies"))
+    rows = rows.join(repeated, ["lang", "key"], "left_semi")
     copies = rows.groupBy("lang", "key", "source").agg(F.count("*").alias("n"))
     copies = copies.groupBy("lang", "key").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
     texts = rows.groupBy("lang", "key").agg(F.first("text").alias("text"))
-    return texts.join(copies, ["lang", "key"]).select("lang", "text", "copies")
+    return single.union(texts.join(copies, ["lang", "key"]).select("lang", "text", "copies"))
 
 
 def _terms(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
@@ -125,6 +132,8 @@ def _count(chunk_bytes: int, chunk_rows: int) -> Callable[[Iterator[pa.RecordBat
 def term_counts(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``lang``, ``source``, ``term``, its ``count`` and the number ``docs`` of the documents with it."""
     found = collapsed(docs).mapInArrow(_count(chunk_bytes, chunk_rows), "lang string, source string, term string, count long, docs long")
+    # Each task has summed its chunks: a key has a row for each chunk at most, and summing once more before the shuffle is in vain.
+    found = found.repartition("lang", "source", "term")
     return found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
