@@ -42,6 +42,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores in front of it so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def by_batch(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]):
     """A function for ``mapInArrow`` that prepares once per task and then maps batch by batch."""
 

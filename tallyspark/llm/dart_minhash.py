@@ -11,8 +11,8 @@ most of the time; where one is left empty, the rank is doubled.  So a signature
 proportion to the words of the text plus the number of darts, whatever the number of coordinates.
 
 Texts with equal bytes are one node.  Coordinates are cut into bands; nodes that share a band are
-compared as ``linking`` describes, in bands of any size: first by the share of equal coordinates (a
-pair of similarity 0.8 falls below the limit in less than one of 10^6 cases), then exactly.
+compared exactly, in bands of any size, as ``linking`` describes.  A pair at similarity 0.8 shares none of the ``BANDS``
+bands in less than one of 10,000 cases, a more similar one more rarely.
 
 Defined results: a null text is empty; texts without words are only grouped with equal texts; a
 text of fewer than five words has one shingle; a class is named by its smallest doc_id
@@ -23,23 +23,20 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import broadcast_if_small, by_batch, written
+from tallyspark.llm.common import broadcast_if_small, by_batch, unused, written
 from tallyspark.llm.linking import link
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 COORDINATES = BANDS * ROWS
-#: Share of equal coordinates below which a pair is not compared exactly.
-LIKELY = 0.6
-#: Shares at which the pairs of crowded bands are compared exactly, one after the other.
-STEPS = (0.8, 0.7, LIKELY)
 INVOLVED_ROWS = 200_000
 
 # Odd multipliers of the hashes.
@@ -131,8 +128,8 @@ def signature(items: np.ndarray, weights: np.ndarray) -> np.ndarray:
         limit *= 2
 
 
-def sign(text: str | None) -> tuple[int, list[int], bytes] | None:
-    """(number of shingles, band keys, short form of the signature) of a text with words."""
+def sign(text: str | None) -> tuple[int, list[int]] | None:
+    """(number of shingles, band keys) of a text with words."""
     found = shingles(text)
     if not len(found):
         return None
@@ -140,7 +137,13 @@ def sign(text: str | None) -> tuple[int, list[int], bytes] | None:
     keys = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
     for k in range(ROWS):
         keys = mix(keys * _A + kept.reshape(BANDS, ROWS)[:, k])
-    return len(found), keys.view(np.int64).tolist(), mix(kept).astype(np.uint16).tobytes()
+    return len(found), keys.view(np.int64).tolist()
+
+
+def cut(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of its text and hash of each shingle of some texts."""
+    each = [shingles(t) for t in texts]
+    return np.repeat(np.arange(len(each)), [len(x) for x in each]), np.concatenate(each) if each else np.empty(0, np.uint64)
 
 
 def similarity(left: str | None, right: str | None) -> float:
@@ -155,8 +158,8 @@ def similarity(left: str | None, right: str | None) -> float:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (of the text's bytes), ``n``, ``bands`` and ``short`` of each row; null where there are no words."""
-    names = ["doc_id", "key", "n", "bands", "short"]
+    """``doc_id``, ``key`` (of the text's bytes), ``n`` and ``bands`` of each row; null where there are no words."""
+    names = ["doc_id", "key", "n", "bands"]
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -165,94 +168,37 @@ def signatures(docs: DataFrame) -> DataFrame:
             done: dict[bytes, tuple | None] = {}
             for key, text in zip(keys, texts):
                 if key not in done:
-                    done[key] = sign(text) or (None, None, None)
+                    done[key] = sign(text) or (None, None)
             signs = [done[k] for k in keys]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            kinds = [pa.int64(), pa.list_(pa.int64())]
             columns = [pa.array([s[i] for s in signs], kind) for i, kind in enumerate(kinds)]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), *columns], names=names)
 
         return step
 
-    schema = "doc_id long, key binary, n long, bands array<long>, short binary"
+    schema = "doc_id long, key binary, n long, bands array<long>"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(by_batch(make), schema)
 
 
-def _likely(pairs: DataFrame) -> DataFrame:
-    """Pairs whose short signatures agree in enough coordinates."""
-
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, COORDINATES) for k in (2, 3))
-            return batch.select([0, 1]).filter(pa.array((left == right).mean(1) >= LIKELY))
-
-        return step
-
-    return pairs.mapInArrow(by_batch(make), "a long, b long")
-
-
-def _near(tiles: DataFrame, least: float, below: float) -> DataFrame:
-    """Pairs of different roots, one from each side of a row, whose share of equal coordinates is in the range."""
-
-    def make():
-        def side(items: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            node, root, short = items.flatten()
-            return node.to_numpy(), root.to_numpy(), np.frombuffer(b"".join(short.to_pylist()), np.uint16).reshape(-1, COORDINATES)
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64),) * 2]
-            for left, right in zip(batch.column(0), batch.column(1)):
-                (nodes, roots, shorts), (others, other_roots, other_shorts) = side(left.values), side(right.values)
-                for node, root, short in zip(nodes, roots, shorts):
-                    share = (other_shorts == short).mean(1)
-                    near = others[(share >= least) & (share < below) & (other_roots != root)]
-                    found.append((np.full(len(near), node), near))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["node", "other"])
-
-        return step
-
-    return tiles.mapInArrow(by_batch(make), "node long, other long")
-
-
-def _similar(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs whose texts are exactly that similar."""
-
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            near = [similarity(x, y) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            return batch.select([0, 1]).filter(pa.array(near))
-
-        return step
-
-    return pairs.mapInArrow(by_batch(make), "a long, b long")
-
-
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    pairs = written(pairs, "near-pairs")
-    side = lambda name, end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("short").alias(name))
-    both = pairs.join(side("left", "a"), "a").join(side("right", "b"), "b")
-    both = both.filter(F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
-    likely = written(_likely(both.select("a", "b", "left", "right")), "near-likely")
-    involved = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "key", "first_id"), "node")
-    involved = broadcast_if_small(written(involved.withColumnRenamed("key", "node_key"), "near-involved"), INVOLVED_ROWS)
+def _texts(docs: DataFrame, nodes: DataFrame, some: DataFrame) -> DataFrame:
+    """``node`` and ``text`` of the nodes in ``some``."""
+    involved = nodes.join(some, "node").select("node", F.col("key").alias("node_key"), "first_id")
+    involved = broadcast_if_small(written(involved, "near-involved"), INVOLVED_ROWS)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.unhex(F.md5("text")) == F.col("node_key"))
-    texts = written(keyed.join(involved, same).select("node", "text").dropDuplicates(["node"]), "near-texts")
-    pairs = likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-    pairs = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-    return _similar(pairs.select("a", "b", "left", "right"), least)
+    return keyed.join(involved, same).select("node", "text").dropDuplicates(["node"])
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``doc_id``, ``key`` of the text, ``class_id``, ``class_key`` (text of the class's first document) and ``class_size``, a row for each row of ``docs``."""
     signed = written(signatures(docs), "near-signatures")
     nodes = signed.groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("short").alias("short")
+        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "*"), "near-nodes")
-    members = written(nodes.filter("n is not null").select("node", F.explode("bands").alias("band")), "near-bands")
-    sketch = lambda some: nodes.select("node", F.col("short").alias("sketch")).join(broadcast_if_small(some, INVOLVED_ROWS), "node")
-    roots = link(members, lambda pairs: _verified(docs, nodes, pairs, least), sketch, _near, STEPS)
+    members = written(nodes.filter("n is not null").select("node", F.col("n").alias("size"), F.explode("bands").alias("band")), "near-bands")
+    roots = link(members, lambda some: _texts(docs, nodes, some), cut, least, weighted=True)
     named = nodes.select("node", "key", "first_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named, "near-named")
     first = F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "key"))
@@ -273,11 +219,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each class of ``docs``, with all its columns."""
     found = written(classes(docs), "near-classes")
     own = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))
-    dropped = found.filter(~own).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct()
-    twice = found.filter(own).groupBy("doc_id", "key").count().filter("count > 1").select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
+    doc, key = unused(docs, "doc"), unused(docs, "key")
+    named = lambda df: df.select(F.col("doc_id").alias(doc), F.col("key").alias(key))
+    dropped, twice = named(found.filter(~own)).distinct(), named(found.filter(own).groupBy("doc_id", "key").count().filter("count > 1"))
     dropped, twice = (broadcast_if_small(written(x, "near-dropped"), INVOLVED_ROWS) for x in (dropped, twice))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.unhex(F.md5(text)) == F.col("_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.unhex(F.md5(text)) == F.col(key))
     rest = docs.join(dropped, same, "left_anti")
     if twice.isEmpty():
         return rest

@@ -1,89 +1,171 @@
 """Links between all similar nodes that share a band.
 
-First every member of a band is compared with the band's least member.  This ties groups of
-near copies together, and members of one component need no comparison any more.  Then the
-pairs of a band that lie in different components are all looked at: the members are dealt into
-tiles of about ``TILE``, each two tiles of a band are one row, and the caller's ``near`` picks the
-pairs of a row whose sketches agree in a share of places.  They are verified from the largest
-shares to the smallest, a step of shares at a time, and what a step has tied together is left
-out of the next.  So each pair that shares a band, and whose sketches agree enough, is
-verified or in one component already; none is lost to the size of its band.  Rows are formed
-for pairs of tiles and for pairs of alike sketches only; comparing sketches takes time with
-the square of the members of a band that stay in different components.
+The members of a band are dealt into tiles of bounded size.  A task compares the texts of a tile exactly, by the
+weighted Jaccard similarity of their shingles, and keeps its own union-find: texts that are in one
+component already need no comparison, and only the links that join two components leave the task - fewer than the tile has
+members, however many of them are alike.  So no row is formed for a pair of texts.
+
+Bands with the same members are compared once.  Bands of one tile are done after that.  In larger ones, first the
+components' least members are compared with each other, and at last each two tiles of a band that still hold different components, each such
+pair of tiles in a row and a task of its own.  So every pair of texts that shares a band is compared, or is in one component already; none is
+lost to the size of its band.  What grows with the square of a band are comparisons between its different components; this is the price of losing no link.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import broadcast_if_small, written
+from tallyspark.llm.common import broadcast_if_small, by_batch, written
 from tallyspark.llm.components import components
 
-TILE = 256
+#: Members of a tile, and the sum of their sizes (characters or shingles), about.
+TILE, TILE_SIZE = 1024, 1 << 20
 
+#: Texts -> for each shingle of each text its text's number and a hash of 64 bits, with repeats, in the order of texts.
+Cut = Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]
 
-def _ends(members: DataFrame) -> DataFrame:
-    """Size and both ends of the bands with more than one node."""
-    return members.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
 
+class Sets:
+    """Multisets of the shingles of some texts, ordered by size."""
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of ``node`` and ``other``."""
-    rows = rows.filter("node <> other")
-    return rows.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    def __init__(self, of_text: np.ndarray, ids: np.ndarray, n: int, width: int, weighted: bool):
+        key, count = np.unique(of_text * width + ids, return_counts=True)
+        text, self.ids = np.divmod(key, width)
+        self.counts = count if weighted else np.ones(len(count), np.int64)
+        self.ends = np.searchsorted(text, np.arange(n), "right")
+        self.begins = np.searchsorted(text, np.arange(n), "left")
+        total = np.concatenate([[0], np.cumsum(self.counts)])
+        self.sizes = total[self.ends] - total[self.begins]
 
+    def common(self, held: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Size of the intersection of each of ``some`` sets with the one whose counts are ``held``."""
+        begins, widths = self.begins[some], (self.ends - self.begins)[some]
+        at = np.repeat(begins - np.cumsum(widths) + widths, widths) + np.arange(widths.sum())
+        return np.add.reduceat(np.minimum(held[self.ids[at]], self.counts[at]), np.cumsum(widths) - widths)
 
-def _open(crowded: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, with their ``root``, of the bands that hold more than one component."""
-    rows = crowded.select("band", "node", "n").join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rows.groupBy("band").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first <> last").select("band")
-    return rows.join(broadcast_if_small(written(several, "open-bands")), "band").select("band", "node", "root", "n")
 
+def spanning(cut: Cut, least: float, weighted: bool, left: tuple, right: tuple | None = None) -> Iterator[tuple[int, int]]:
+    """Links of similar texts that join components: within one tile, or between two.
 
-def _tiles(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """``left`` and ``right``, arrays of ``node``, ``root`` and ``sketch``: each two tiles of a band that hold different roots."""
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / TILE))
-    items = F.collect_list(F.struct("node", "root", "sketch")).alias("items")
-    dealt = rows.withColumn("part", part).join(sketches, "node")
-    tiles = written(dealt.groupBy("band", "part").agg(items, F.min("root").alias("first"), F.max("root").alias("last")), "tiles")
-    left, right = (tiles.select("band", *[F.col(c).alias(f"{c}_{side}") for c in ("part", "items", "first", "last")]) for side in ("l", "r"))
-    both = left.join(right, "band").filter("part_l <= part_r and least(first_l, first_r) <> greatest(last_l, last_r)")
-    return both.select(F.col("items_l").alias("left"), F.col("items_r").alias("right"))
+    A tile is its nodes, their roots and their texts.
+    """
+    nodes, roots, texts = left if right is None else tuple([*a, *b] for a, b in zip(left, right))
+    nodes, border = np.asarray(nodes), len(left[0])
+    component = np.unique(np.asarray(roots), return_inverse=True)[1]
+    of_text, hashes = cut(texts)
+    ids = np.unique(hashes, return_inverse=True)[1] if len(hashes) else hashes.astype(np.int64)
+    width = int(ids.max()) + 1 if len(ids) else 1
+    sets = Sets(of_text, ids, len(texts), width, weighted)
+    order = np.argsort(sets.sizes, kind="stable")
+    order = order[sets.sizes[order] > 0]
+    sizes = sets.sizes[order]
+    held = np.zeros(width, np.int64)
+    for place, x in enumerate(order):
+        # The larger ones that are not too large, of another component and, between tiles, of the other tile.
+        end = np.searchsorted(sizes, sizes[place] / least + 1e-9, "right")
+        some = order[place + 1 : end]
+        some = some[component[some] != component[x]]
+        if right is not None:
+            some = some[(some < border) != (x < border)]
+        if not len(some):
+            continue
+        own = slice(sets.begins[x], sets.ends[x])
+        held[sets.ids[own]] = sets.counts[own]
+        common = sets.common(held, some)
+        held[sets.ids[own]] = 0
+        for y in some[common / (sets.sizes[x] + sets.sizes[some] - common) >= least]:
+            if component[y] != component[x]:
+                yield int(nodes[x]), int(nodes[y])
+                component[component == component[y]] = component[x]
+
+
+def _compared(rows: DataFrame, cut: Cut, least: float, weighted: bool) -> DataFrame:
+    """Links found in rows of ``left`` and ``right`` (null: within ``left``), arrays of node, root and text."""
+
+    def make():
+        def tile(items: pa.StructScalar) -> tuple | None:
+            return tuple(x.to_pylist() for x in items.values.flatten()) if items.is_valid else None
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = [link for x, y in zip(batch.column(0), batch.column(1)) for link in spanning(cut, least, weighted, tile(x), tile(y))]
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
+
+        return step
+
+    return rows.select("left", "right").mapInArrow(by_batch(make), "a long, b long")
+
+
+def _different(members: DataFrame) -> DataFrame:
+    """One ``band`` for each set of at least two members, with their number ``n`` and sizes' sum ``size``."""
+    seed = lambda k: F.bit_xor(F.xxhash64("node", F.lit(k)))
+    bands = members.groupBy("band").agg(F.count("*").alias("n"), F.sum("size").alias("size"), seed(1).alias("x"), seed(2).alias("y"))
+    return bands.filter("n > 1").groupBy("n", "size", "x", "y").agg(F.min("band").alias("band")).select("band", "n", "size")
+
+
+def _parts() -> Column:
+    return F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("size") / TILE_SIZE), F.lit(1))
 
 
-def link(
-    members: DataFrame,
-    verify: Callable[[DataFrame], DataFrame],
-    sketch: Callable[[DataFrame], DataFrame],
-    near: Callable[[DataFrame, float, float], DataFrame],
-    steps: Sequence[float],
-) -> DataFrame:
+def _tiled(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``band``, ``part`` and ``items`` of rows of ``band``, ``node``, ``root`` and the number ``parts`` of tiles."""
+    part = F.pmod(F.xxhash64("node", "band"), F.col("parts")).cast("int")
+    items = F.collect_list(F.struct("node", "root", "text")).alias("items")
+    return rows.withColumn("part", part).join(texts, "node").groupBy("band", "part").agg(items, F.first("parts").cast("int").alias("parts"))
+
+
+def _within(tiles: DataFrame) -> DataFrame:
+    items = tiles.filter(F.size("items") > 1).select(F.col("items").alias("left"))
+    return items.withColumn("right", F.lit(None).cast(items.schema["left"].dataType))
+
+
+def _between(tiles: DataFrame) -> DataFrame:
+    """Each two tiles of a band, dealt by the pair."""
+    others = F.sequence(F.lit(0), F.col("parts") - 1)
+    first = tiles.select("band", F.col("part").alias("i"), F.explode(F.filter(others, lambda j: j > F.col("part"))).alias("j"), F.col("items").alias("left"))
+    second = tiles.select("band", F.explode(F.filter(others, lambda i: i < F.col("part"))).alias("i"), F.col("part").alias("j"), F.col("items").alias("right"))
+    return first.join(second, ["band", "i", "j"]).select("left", "right")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """Rows of the bands that still hold several components."""
+    several = rows.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("band")
+    return rows.join(broadcast_if_small(written(several, "open-bands")), "band")
+
+
+def link(members: DataFrame, texts: Callable[[DataFrame], DataFrame], cut: Cut, least: float, weighted: bool = False) -> DataFrame:
     """``node`` and ``root`` of the nodes that are linked to others.
 
-    ``members`` has ``node`` and ``band`` and is a written table; ``verify`` keeps those of the given
-    pairs ``a``, ``b`` that are similar enough.  ``sketch`` gives ``node`` and ``sketch`` of the given nodes; ``near``
-    gives the pairs ``node``, ``other`` of different roots in rows of ``left`` and ``right`` whose sketches agree in a share from the
-    first number on and below the second.  ``steps`` are falling shares; pairs below the last are not similar.
+    ``members`` is a written table of ``node``, ``band`` and ``size`` (characters or shingles of the node's text); ``texts`` gives ``node`` and ``text`` of the given
+    nodes; ``cut`` makes the shingles.
     """
-    ends = written(_ends(members), "bands")
-    two = ends.filter("n = 2").select(F.col("high").alias("node"), F.col("low").alias("other"))
-    larger = broadcast_if_small(ends.filter("n > 2").select("band", "low", "n"))
-    crowded = written(members.join(larger, "band").select("band", "node", "low", "n"), "crowded")
-    edges = written(verify(_pairs(two.union(crowded.select("node", "low")))), "links")
-    roots = written(components(edges), "roots")
-    sketches = None
-    for least, below in zip(steps, [2.0, *steps]):
-        crowded = written(_open(crowded, roots), "open")
-        if crowded.isEmpty():
-            break
-        if sketches is None:
-            sketches = written(sketch(crowded.select("node").distinct()), "sketches")
-        pairs = written(_pairs(near(_tiles(crowded, sketches), least, below)), "alike")
-        if pairs.isEmpty():
-            continue
-        edges = written(edges.unionByName(verify(pairs)), "links")
-        roots = written(components(edges), "roots")
-    return roots
+    bands = written(_different(members).withColumn("parts", _parts()), "bands")
+    rows = written(members.join(broadcast_if_small(bands.select("band", "parts")), "band"), "crowded")
+    own = written(texts(rows.select("node").distinct()), "texts")
+    compared = lambda tiles: _compared(tiles, cut, least, weighted)
+    links = written(compared(_within(_tiled(rows.withColumn("root", F.col("node")), own))), "links")
+    roots = written(components(links), "roots")
+    large = rows.filter("parts > 1")
+    if large.isEmpty():
+        return roots
+    # The least member of each component of a large band speaks for it.
+    left = written(_open(_rooted(large, roots)), "open")
+    heads = left.groupBy("band", "root").agg(F.min("node").alias("node"), F.min_by("size", "node").alias("size"))
+    counts = written(heads.groupBy("band").agg(F.count("*").alias("n"), F.sum("size").alias("size")).select("band", _parts().alias("parts")), "heads")
+    heads = written(heads.join(broadcast_if_small(counts), "band"), "head-rows")
+    links = written(links.unionByName(compared(_within(_tiled(heads, own)))), "links")
+    roots = written(components(links), "roots")
+    left = written(_open(_rooted(left.drop("root"), roots)), "open")
+    if left.isEmpty():
+        return roots
+    tiles = written(_tiled(left, own), "tiles")
+    links = written(links.unionByName(compared(_between(tiles))), "links")
+    return written(components(links), "roots")
