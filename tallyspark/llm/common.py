@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import time
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,6 +15,7 @@ from tallyspark.session import scratch_path
 
 #: A side is broadcast only if a count has shown that it has at most this many rows.
 BROADCAST_ROWS = 50_000
+GC_SECONDS = 4.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,18 +31,43 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a compressed table in the shared folder; cuts lineage and lets go of the shuffles behind it.
-
-    Spark drops the shuffle files of a finished plan when the driver collects its garbage, which a
-    driver with little to do may not do for long; asking for it keeps the disk free for what follows.
-    """
+    """``df`` as a compressed table in the shared folder; cuts lineage and lets go of the shuffles behind it."""
     spark, schema = df.sparkSession, df.schema
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    let_go(spark)
+    made = spark.read.schema(schema).parquet(path)
+    _paths[made] = path
+    return made
+
+
+_last_time = 0.0
+
+
+def let_go(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished plans.
+
+    It does when the driver collects its garbage, which a driver with little to do may not do for long; asking for
+    it, every few seconds at most, keeps the disk free for what follows.
+    """
+    global _last_time
+    if time.monotonic() - _last_time > GC_SECONDS:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _last_time = time.monotonic()
+
+
+#: Where the tables of ``written`` lie, as long as somebody holds them.
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def forget(made: DataFrame) -> None:
+    """Delete the files of a table of ``written`` that no later plan reads."""
+    if path := _paths.pop(made, None):
+        session = made.sparkSession
+        place = session._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(session._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def unused(df: DataFrame, name: str) -> str:

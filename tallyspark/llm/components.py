@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import written
 
 
+#: So many edges, counted, are tied together by one task.
+SMALL_EDGES = 20_000
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over the edges of one small table."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if a != b:
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], names=["node", "root"])
+
+
 def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
     """Edges without loops and repeats as a written table, and their number and combined hash."""
     seen = Observation()
@@ -17,13 +43,16 @@ def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``root`` (the smallest node of its component) for every node of an edge ``a``-``b``.
+    """Of a written table of edges ``a``-``b``: ``node`` and ``root`` (the smallest node of its component) for every node.
 
     Rounds of large-star and small-star moves: each node's greater neighbours are tied to its
     smallest one, then its smaller neighbours are; the edges end as stars around the roots.  Minima
     are pre-aggregated, so a node with very many edges is no single task's work.  Loops and
-    repeated edges do not matter; no edges give no rows.
+    repeated edges do not matter; no edges give no rows.  A table that is counted to have ``SMALL_EDGES`` at most
+    is done by one task instead of many rounds of nearly empty ones.
     """
+    if edges.count() <= SMALL_EDGES:
+        return edges.select("a", "b").coalesce(1).mapInArrow(_united, "node long, root long")
     edges, sign = _kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     before = None
     while sign[0] and sign != before:

@@ -37,6 +37,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 COORDINATES = BANDS * ROWS
+#: Parts of the bands that are compared one after the other.
+TURNS = 3
 INVOLVED_ROWS = 200_000
 
 # Odd multipliers of the hashes.
@@ -187,7 +189,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, some: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.unhex(F.md5("text")) == F.col("node_key"))
-    return keyed.join(involved, same).select("node", "text").dropDuplicates(["node"])
+    return written(keyed.join(involved, same).select("node", "text").dropDuplicates(["node"]), "near-texts")
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -198,7 +200,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "*"), "near-nodes")
     members = written(nodes.filter("n is not null").select("node", F.col("n").alias("size"), F.explode("bands").alias("band")), "near-bands")
-    roots = link(members, lambda some: _texts(docs, nodes, some), cut, least, weighted=True)
+    roots = link(members, lambda some: _texts(docs, nodes, some), cut, least, weighted=True, turns=TURNS)
     named = nodes.select("node", "key", "first_id", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = written(named, "near-named")
     first = F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "key"))

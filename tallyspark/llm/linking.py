@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import broadcast_if_small, by_batch, written
+from tallyspark.llm.common import broadcast_if_small, by_batch, forget, written
 from tallyspark.llm.components import components
 
 #: Members of a tile, and the sum of their sizes (characters or shingles), about.
@@ -141,18 +141,25 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(written(several, "open-bands")), "band")
 
 
-def link(members: DataFrame, texts: Callable[[DataFrame], DataFrame], cut: Cut, least: float, weighted: bool = False) -> DataFrame:
+def link(members: DataFrame, texts: Callable[[DataFrame], DataFrame], cut: Cut, least: float, weighted: bool = False, turns: int = 1) -> DataFrame:
     """``node`` and ``root`` of the nodes that are linked to others.
 
-    ``members`` is a written table of ``node``, ``band`` and ``size`` (characters or shingles of the node's text); ``texts`` gives ``node`` and ``text`` of the given
-    nodes; ``cut`` makes the shingles.
+    ``members`` is a table of ``written``, which is deleted once it is used: ``node``, ``band`` and ``size`` (characters or shingles of
+    the node's text); ``texts`` gives ``node`` and ``text`` of the given nodes, at least; ``cut`` makes the shingles.  The bands come in
+    ``turns``, so that texts travel for a part of them at a time, and later ones only for bands that still hold different components.
     """
     bands = written(_different(members).withColumn("parts", _parts()), "bands")
     rows = written(members.join(broadcast_if_small(bands.select("band", "parts")), "band"), "crowded")
-    own = written(texts(rows.select("node").distinct()), "texts")
+    forget(members)
+    own = texts(rows.select("node").distinct())
     compared = lambda tiles: _compared(tiles, cut, least, weighted)
-    links = written(compared(_within(_tiled(rows.withColumn("root", F.col("node")), own))), "links")
-    roots = written(components(links), "roots")
+    links = roots = None
+    for turn in range(turns):
+        now = rows.filter(F.pmod("band", F.lit(turns)) == turn)
+        now = _open(_rooted(now, roots)) if turn else now.withColumn("root", F.col("node"))
+        found = compared(_within(_tiled(now, own)))
+        links = written(links.unionByName(found) if turn else found, "links")
+        roots = written(components(links), "roots")
     large = rows.filter("parts > 1")
     if large.isEmpty():
         return roots

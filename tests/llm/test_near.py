@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from brute import near_classes, shingles
 
 from tallyspark.llm import dart_minhash as dm
@@ -24,7 +25,9 @@ def corpus(seed=3, bases=12, copies=9):
     return docs
 
 
-def test_components(spark):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_components(spark, monkeypatch, small):
+    monkeypatch.setattr("tallyspark.llm.components.SMALL_EDGES", small)
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(35)] + [(5, 5), (200, 7), (7, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
