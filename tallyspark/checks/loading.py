@@ -710,8 +710,9 @@ def src_stream_json(spark, sf):
     """The messages as files of JSON lines, read as a stream into the keyed loader."""
     root = scratch_path(spark, "stream")
     adapter.messages(spark, sf).select("value").write.text(f"{root}/in")
-    loader = stream.MessageLoader(f"{root}/rows", f"{root}/dead", order=["value"])
+    table = sinks.KeyedTable(spark, f"{root}/table", "voucher_id", schemas.TABLE_DDL, buckets=8, loaded_at=schemas.LOADED_AT)
+    loader = stream.MessageLoader(table, f"{root}/dead", order=["value"])
     loader.start(
         readers.read_message_files(spark, f"{root}/in"), f"{root}/checkpoint", available_now=True
     ).awaitTermination()
-    return loader.read(spark)
+    return loader.read()

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import lookups, schemas
+from tallyspark.functions import values
 from tallyspark.operators import (
     cascade,
     classifier,
@@ -36,9 +37,12 @@ def etl_status(source: DataFrame, target: DataFrame) -> DataFrame:
 def batch_load(
     raw: DataFrame, table: sinks.KeyedTable, as_of: Column, log_path: str | None = None
 ) -> DataFrame:
-    """Gate, clean, flag and upsert raw rows; returns the status row."""
+    """Gate, clean, flag and upsert raw rows; returns the status row.
+
+    The raw rows are typed once: the gate, the load and the status read what was written.
+    """
     gates.require_columns(raw, schemas.RAW_COLUMNS)
-    rows = clean.to_production(raw, as_of)
+    rows = materialized(clean.to_production(raw, as_of), "production")
     gates.require_unique_key(rows, "voucher_id")
     table.upsert(rows, [F.col("source_id")])
     status = etl_status(rows, table.read())
@@ -58,7 +62,9 @@ def batch_load(
 def incremental_load(raw: DataFrame, table: sinks.KeyedTable, as_of: Column) -> DataFrame:
     """Insert rows with unseen keys; returns the reconciliation row."""
     gates.require_columns(raw, schemas.RAW_COLUMNS)
-    detected = materialized(incremental.detect_new(raw, table.read()), "detected")
+    keys = raw.select(values.to_number(F.col("voucher_id"), "bigint").alias("voucher_id")).filter("voucher_id is not null").distinct()
+    known, _ = table.known(materialized(keys.withColumn("_bucket", table.bucket()), "keys"))
+    detected = materialized(incremental.detect_new(raw, known), "detected")
     table.insert_ignore(incremental.transform_new(detected, as_of), [F.col("source_id")])
     return incremental.reconcile(detected, table.read())
 

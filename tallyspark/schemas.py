@@ -33,11 +33,9 @@ PRODUCTION_DDL = (
     " invalid_transaction_type boolean, future_transaction_date boolean"
 )
 
-CATEGORIZATION_DDL = (
-    "voucher_id long, canonical_id int, category_name string, mapping_status string,"
-    " classification_method string, matched_term string, confidence decimal(5,4),"
-    " label_source string"
-)
+#: The keyed production table: what batch, incremental and stream loads all write to.
+LOADED_AT = "etl_loaded_at"
+TABLE_DDL = f"{PRODUCTION_DDL}, {LOADED_AT} timestamp_ntz"
 
 DQ_LOG_DDL = (
     "check_name string, check_status string, records_checked long, records_failed long,"

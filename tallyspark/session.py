@@ -7,8 +7,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
+#: A lookup side is broadcast only if a count has shown that it has at most this many rows.
+BROADCAST_ROWS = 200_000
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -55,3 +59,8 @@ def materialized(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a written table of narrow rows) marked for broadcast if it is counted to have at most ``rows`` rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark import schemas
 from tallyspark.functions import values
-from tallyspark.sources.sinks import first_per_key, path_exists
+from tallyspark.sources.sinks import KeyedTable
 
 STREAM_TYPES = ("Expense", "Income")
-ROW_DDL = (
-    "voucher_id long, consumer_id long, transaction_type string, amount decimal(18,2),"
-    " transaction_date date, description string"
-)
+ROW_COLUMNS = ["voucher_id", "consumer_id", "transaction_type", "amount", "transaction_date", "description"]
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def decode(messages: DataFrame) -> DataFrame:
@@ -89,56 +89,67 @@ def insert_outcome(good: DataFrame, target: DataFrame, order: list[Column]) -> D
 
 
 class MessageLoader:
-    """``foreachBatch`` sink with two outputs: new rows by key and dead letters.
+    """A stream of messages into the keyed table that batch and incremental loads write too.
+
+    Repeats of a key are met twice.  Spark's keyed state holds the first message of each key
+    for ``span`` of arrival time, so a repeat that comes soon costs no look at the table; the table then takes only
+    keys it lacks, whoever loaded them.  ``order`` names the columns of the stream by which the first message of a key
+    in a batch is known: partition and offset of a topic, or a sequence number.
 
-    Each batch writes its own folder with overwrite, so a batch that is
-    replayed after a failure leaves the same rows once.  ``order`` names the
-    columns of the stream by which the first message of a key is known: partition and
-    offset of a topic, or a sequence number.
+    A batch that is delivered again after a failure finds its keys and adds nothing.  Arrival is the batch's own
+    time, which Spark keeps with the batch, so no message is ever late for the state.  Rejected messages go to their
+    own stream and folder, which Spark's file sink writes exactly once.
     """
 
-    def __init__(self, target: str, dead_letters: str, order: list[str]):
-        self.target = target.rstrip("/")
+    def __init__(self, table: KeyedTable, dead_letters: str, order: list[str], span: str = "1 hour"):
+        self.table = table
         self.dead_letters = dead_letters.rstrip("/")
         if not order:
             raise ValueError("name the columns that say which message came first")
         self.order = order
+        self.span = span
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Rows loaded so far, optionally only by batches before the given one."""
-        if not path_exists(spark, self.target):
-            return spark.createDataFrame([], ROW_DDL)
-        rows = spark.read.schema(f"{ROW_DDL}, batch int").parquet(self.target)
-        if before is not None:
-            rows = rows.filter(F.col("batch") < before)
-        return rows.drop("batch")
+    def read(self) -> DataFrame:
+        """The message columns of all rows of the table."""
+        return self.table.read().select(*ROW_COLUMNS)
 
     def read_dead_letters(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema("value string, reject_reason string").parquet(self.dead_letters)
 
+    def first_messages(self, stream: DataFrame) -> DataFrame:
+        """The first good message of each key that the batch touches, from Spark's state."""
+        good = validate(decode(stream)).filter("reject_reason is null").withColumn("arrival", F.current_timestamp()).withWatermark("arrival", self.span)
+        row = F.struct(*dict.fromkeys([*ROW_COLUMNS, *self.order]))
+        first = good.groupBy(F.window("arrival", self.span), F.col("voucher_id").alias("_key")).agg(
+            F.min_by(row, F.struct(*self.order)).alias("first")
+        )
+        return first.select("first.*")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
-        try:
-            checked = validate(decode(batch))
-            good = checked.filter("reject_reason is null")
-            fresh = good.join(
-                self.read(spark, before=batch_id).select("voucher_id"), "voucher_id", "left_anti"
-            )
-            order = [F.col(c) for c in self.order]
-            names = [part.split()[0] for part in ROW_DDL.split(", ")]
-            rows = first_per_key(
-                fresh.select(*dict.fromkeys([*names, *self.order])), ["voucher_id"], order
-            ).select(*names)
-            rows.write.mode("overwrite").parquet(f"{self.target}/batch={batch_id}")
-            rejected(checked).write.mode("overwrite").parquet(
-                f"{self.dead_letters}/batch={batch_id}"
-            )
-        finally:
-            batch.unpersist()
-
-    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-        writer = stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        return writer.start()
+        self.table.insert_ignore(batch, [F.col(c) for c in self.order])
+
+    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = False) -> "Loading":
+        """Start both streams: rows into the table, rejected messages into their folder."""
+        stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+        rows = self.first_messages(stream).writeStream.outputMode("update").foreachBatch(self)
+        dead = rejected(validate(decode(stream))).writeStream.format("parquet").option("path", self.dead_letters)
+        queries = []
+        for name, writer in (("rows", rows), ("dead", dead)):
+            writer = writer.option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
+            queries.append((writer.trigger(availableNow=True) if available_now else writer).start())
+        return Loading(queries)
+
+
+@dataclass
+class Loading:
+    """The running streams of a loader."""
+
+    queries: list[StreamingQuery]
+
+    def awaitTermination(self) -> None:  # noqa: N802  as Spark's own
+        for query in self.queries:
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
