@@ -225,7 +225,7 @@ def nearest_embeddings(spark, sf):
     return similarity.nearest_vectors(
         rows.filter("is_test").select(F.col("vec_id").alias("query"), "vector"),
         refs.select(F.col("vec_id").alias("reference"), "vector"),
-        pivots=similarity.default_pivots(refs.count()),
+        leaves=similarity.default_leaves(refs.count()),
     ), refs
 
 

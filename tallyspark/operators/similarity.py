@@ -6,12 +6,11 @@ the bounds of the exact search rule out few, and its work then grows with querie
 references, as dense block products:
 
 1. References are cut into blocks of bounded size that hold similar ones:
-   neighbouring texts in sort order, or vectors around a pivot.
-2. For every query and block a join yields an upper bound of the similarity
-   that any reference of the block can reach.
-3. The most promising blocks are scored; the k-th best similarity found is a
-   lower bound of the final one, and only blocks whose upper bound still
-   reaches it are scored as well.
+   neighbouring texts in sort order, or vectors around a centre.
+2. The most promising blocks of a query are scored; the k-th best similarity found is a
+   lower bound of the final one.
+3. Only blocks whose references can still reach it are scored as well: those with one of the
+   query's leading rare grams, or whose distance from the centre allows it.
 
 A block that many queries ask for is scored in several chunks of queries, so a
 crowd around one text or vector spreads over tasks.
@@ -20,6 +19,7 @@ crowd around one text or vector spreads over tasks.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,13 +27,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.text import char_wb_ngrams
-from tallyspark.session import materialized
+from tallyspark.session import broadcast_if_small, materialized
 
 # References per block and queries per chunk, in grams; matrix cells scored at once.
-BLOCK_GRAMS = 50_000
+BLOCK_GRAMS = 16_000
 CHUNK_GRAMS = 25_000
+# Rarest grams of a query that choose the blocks to begin with.
+SEEDS = 6
 CELLS = 2_000_000
 BUCKET_ROWS = 4_096
+# References that place the centres, leaves of their tree at most, and leaves that a query is compared with first.
+CENTRE_SAMPLE = 20_000
+MOST_LEAVES = 65_536
+FIRST_CELLS = 3
 EPS = 1e-9
 DIGITS = 10
 
@@ -81,8 +87,9 @@ def unit_weights(counts: DataFrame, idf: DataFrame, key: str, tf: Column | None
 
 def char_tfidf(texts: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, gram, tf, df, idf, w)`` of texts that are their own reference."""
-    counts = gram_counts(texts, key, text)
-    return unit_weights(counts, idf_table(counts, texts.agg(F.count(F.lit(1))).scalar()), key)
+    counts = materialized(gram_counts(texts, key, text), "grams")
+    idf = materialized(idf_table(counts, texts.agg(F.count(F.lit(1))).scalar()), "idf")
+    return unit_weights(counts, broadcast_if_small(idf), key)
 
 
 # ----------------------------------------------------------------- sparse neighbours
@@ -94,72 +101,75 @@ def nearest_texts(queries: DataFrame, references: DataFrame, k: int = 5) -> Data
     Both inputs have one column ``text`` of distinct, non-empty texts.
     Similarities are rounded to ten digits, so that equal texts tie on every
     machine; ties go to the alphabetically first reference.
+
+    Grams have one order, rare ones first.  The two blocks that a query's rarest grams speak for most are scored;
+    they give a lower bound of its k-th best similarity.  If the first gram that a reference shares with the query is g,
+    their similarity is at most the product of the lengths of both vectors from g on.  So only the grams before the rest of
+    the query's vector falls short of its bound are looked up, and only in blocks whose references can still reach it.
     """
-    refs, asked = _weighted_grams(queries, references)
-    peaks = refs.groupBy("block", "gid").agg(F.max("rw").alias("peak"))
-    reach = materialized(
-        asked.join(peaks, "gid")
-        .groupBy("query", "block")
-        .agg(F.sum(F.col("w") * F.col("peak")).alias("reach")),
-        "reach",
-    )
-    first = top_k(reach, "query", [F.desc("reach"), F.asc("block")], 2).select("query", "block")
-    tried = materialized(_score_texts(first, asked, refs, k), "first-blocks")
-    bound = kth_best(tried, "query", "similarity", k)
-    more = (
-        reach.join(first, ["query", "block"], "left_anti")
-        .join(bound, "query", "left")
-        .filter(F.col("reach") >= F.coalesce("bound", F.lit(0.0)) - EPS)
-        .select("query", "block")
-    )
+    asked_texts, ref_texts = numbered(queries, "query"), numbered(references, "reference")
+    refs, asked = _weighted_grams(asked_texts, ref_texts)
+    peaks = materialized(refs.groupBy("gid", "block").agg(F.max("rw").alias("peak"), F.max("rest").alias("ref_rest")), "peaks")
+    first = materialized(first_blocks(asked, peaks), "first-blocks")
+    tried = materialized(_score_texts(first, asked, refs, k), "first-scores")
+    more = open_blocks(asked, peaks, kth_best(tried, "query", "similarity", k)).join(first, ["query", "block"], "left_anti")
     scores = tried.unionByName(_score_texts(more, asked, refs, k))
-    return top_k(scores, "query", [F.desc("similarity"), F.asc("reference")], k)
+    # Numbers follow the alphabet, so they break ties as the texts would.
+    best = top_k(scores, "query", [F.desc("similarity"), F.asc("reference")], k)
+    named = best.join(_names(asked_texts, "query"), "query").join(_names(ref_texts, "reference"), "reference")
+    return named.select(F.col("query_text").alias("query"), F.col("reference_text").alias("reference"), "similarity", "rank")
+
+
+def numbered(texts: DataFrame, key: str) -> DataFrame:
+    """``key`` (a number, in the order of the texts), ``text`` and ``block``: runs of neighbouring texts of about ``BLOCK_GRAMS`` grams."""
+    ordered = texts.select("text").repartitionByRange("text").sortWithinPartitions("text")
+    ids = ordered.select(F.monotonically_increasing_id().alias(key), F.spark_partition_id().alias("range"), "text")
+    running = Window.partitionBy("range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    # A text has at most three grams for each character and blank.
+    grams = F.sum(3 * (F.length("text") + 2)).over(running)
+    block = (F.col("range").cast("long") * 10_000_000 + F.floor(grams / BLOCK_GRAMS)).alias("block")
+    return materialized(materialized(ids, "numbered").select(key, "text", block), "blocks")
+
+
+def _names(texts: DataFrame, key: str) -> DataFrame:
+    return texts.select(key, F.col("text").alias(f"{key}_text"))
 
 
 def _weighted_grams(queries: DataFrame, references: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Unit weights of both sides by gram id; references also carry their block."""
-    named = references.select(F.col("text").alias("reference"))
-    counts = materialized(gram_counts(named, "reference", "reference"), "ref-grams")
+    """Unit weights of both sides by gram id, with the length of the vector from each gram on.
+
+    References also carry their block, the grams of queries their ``place`` from the rarest on.
+    """
+    counts = materialized(gram_counts(references, "reference", "text"), "ref-grams")
     vocabulary = materialized(
-        idf_table(counts, references.agg(F.count(F.lit(1))).scalar()).withColumn(
-            "gid", F.monotonically_increasing_id()
-        ),
-        "vocabulary",
+        idf_table(counts, references.agg(F.count(F.lit(1))).scalar()).withColumn("gid", F.monotonically_increasing_id()), "vocabulary"
     )
-    refs = materialized(
-        unit_weights(counts, vocabulary, "reference")
-        .join(_blocks(counts), "reference")
-        .select("block", "reference", "gid", F.col("w").alias("rw")),
-        "ref-weights",
-    )
-    asked = materialized(
-        unit_weights(
-            gram_counts(queries.select(F.col("text").alias("query")), "query", "query"),
-            vocabulary,
-            "query",
-        ).select("query", "gid", "w"),
-        "query-weights",
-    )
-    return refs, asked
+    vocabulary = broadcast_if_small(vocabulary)
+    refs = with_rest(unit_weights(counts, vocabulary, "reference"), "reference").join(references.select("reference", "block"), "reference")
+    refs = materialized(refs.select("block", "reference", "gid", F.col("w").alias("rw"), "rest"), "ref-weights")
+    place = F.row_number().over(Window.partitionBy("query").orderBy("df", "gid"))
+    asked = with_rest(unit_weights(gram_counts(queries, "query", "text"), vocabulary, "query"), "query").withColumn("place", place)
+    return refs, materialized(asked.select("query", "gid", "w", "rest", "place"), "query-weights")
 
 
-def _blocks(counts: DataFrame) -> DataFrame:
-    """``(reference, block)``: runs of neighbouring texts with about ``BLOCK_GRAMS`` grams each."""
-    ranges = 1 + counts.count() // (40 * BLOCK_GRAMS)
-    texts = materialized(
-        counts.groupBy("reference")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange(ranges, "reference")
-        .withColumn("range", F.spark_partition_id()),
-        "text-ranges",
-    )
-    running = (
-        Window.partitionBy("range")
-        .orderBy("reference")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    part = F.floor((F.sum("n").over(running) - 1) / BLOCK_GRAMS)
-    return texts.select("reference", (F.col("range") * 1_000_000 + part).alias("block"))
+def with_rest(weights: DataFrame, key: str) -> DataFrame:
+    """``weights`` with ``rest``: the length of the vector from each gram on, rare grams first."""
+    # Summed from the most frequent gram on, so that each step adds one row.
+    onward = Window.partitionBy(key).orderBy(F.desc("df"), F.desc("gid")).rowsBetween(Window.unboundedPreceding, 0)
+    return weights.withColumn("rest", F.sqrt(F.sum(F.col("w") * F.col("w")).over(onward)))
+
+
+def first_blocks(asked: DataFrame, peaks: DataFrame) -> DataFrame:
+    """``(query, block)``: the two blocks that the rarest grams of each query speak for most."""
+    reach = asked.filter(F.col("place") <= SEEDS).join(peaks, "gid").groupBy("query", "block").agg(F.sum(F.col("w") * F.col("peak")).alias("reach"))
+    return top_k(reach, "query", [F.desc("reach"), F.asc("block")], 2).select("query", "block")
+
+
+def open_blocks(asked: DataFrame, peaks: DataFrame, bound: DataFrame) -> DataFrame:
+    """``(query, block)``: all blocks that may hold a reference as near as the query's ``bound``."""
+    least = F.coalesce("bound", F.lit(0.0)) - EPS
+    leading = asked.join(bound, "query", "left").filter(F.col("rest") >= least)
+    return leading.join(peaks, "gid").filter(F.col("rest") * F.col("ref_rest") >= least).select("query", "block").distinct()
 
 
 def _score_texts(wanted: DataFrame, asked: DataFrame, refs: DataFrame, k: int) -> DataFrame:
@@ -187,7 +197,7 @@ def _score_texts(wanted: DataFrame, asked: DataFrame, refs: DataFrame, k: int) -
     return (
         left.groupBy("block", "chunk")
         .cogroup(right.groupBy("block", "chunk"))
-        .applyInPandas(_block_scorer(k), "query string, reference string, similarity double")
+        .applyInPandas(_block_scorer(k), "query long, reference long, similarity double")
     )
 
 
@@ -198,7 +208,7 @@ def _block_scorer(k: int):
     """
 
     def frame(asked: list, named: list, scores: list) -> pd.DataFrame:
-        columns = {"query": (asked, object), "reference": (named, object), "similarity": (scores, float)}
+        columns = {"query": (asked, "int64"), "reference": (named, "int64"), "similarity": (scores, float)}
         return pd.DataFrame(
             {
                 name: pd.Series(np.concatenate(parts) if parts else [], dtype=kind)
@@ -233,8 +243,8 @@ def _block_scorer(k: int):
             order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
             top = np.take_along_axis(sims, order, 1)
             ask, place = np.nonzero(top > 0)
-            asked.append(ask_names.to_numpy(dtype=object)[low + ask])
-            named.append(ref_names.to_numpy(dtype=object)[order[ask, place]])
+            asked.append(ask_names.to_numpy()[low + ask])
+            named.append(ref_names.to_numpy()[order[ask, place]])
             scores.append(top[ask, place])
         return frame(asked, named, scores)
 
@@ -308,71 +318,164 @@ def unit_vector(v: Column) -> Column:
     return F.when(size > 0, F.transform(v, lambda x: x.cast("double") / size))
 
 
-def nearest_vectors(
-    queries: DataFrame, references: DataFrame, k: int = 5, pivots: int = 64
-) -> DataFrame:
+@dataclass(frozen=True)
+class Centres:
+    """A tree of two levels of unit vectors: ``top`` centres, and below each ``leaves`` of its own (a leaf's number is top * width + place)."""
+
+    top: np.ndarray
+    leaves: np.ndarray  # tops x width x dimensions
+
+
+def _spherical_means(vectors: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
+    """``n`` unit centres of unit vectors, begun with the first ones; fewer vectors repeat."""
+    centres = vectors[np.arange(n) % len(vectors)].copy()
+    for _ in range(rounds):
+        nearest = (vectors @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, vectors)
+        size = np.linalg.norm(sums, axis=1)
+        centres[size > 0] = sums[size > 0] / size[size > 0, None]
+    return centres
+
+
+def train_centres(references: DataFrame, leaves: int, sample: int = CENTRE_SAMPLE) -> Centres | None:
+    """Centres from at most ``sample`` references chosen by hash; None without references.
+
+    The sample only decides where the centres lie.  Every reference belongs to a leaf and every bound holds for all of a
+    leaf's references, so the search is exact whatever the sample.
+    """
+    rows = references.orderBy(F.xxhash64("reference"), "reference").limit(sample).collect()
+    if not rows:
+        return None
+    vectors = np.array([r.vector for r in rows], float)
+    width = max(1, math.ceil(math.sqrt(min(leaves, MOST_LEAVES))))
+    top = _spherical_means(vectors, width)
+    nearest = (vectors @ top.T).argmax(1)
+    own = [vectors[nearest == i] for i in range(width)]
+    return Centres(top, np.stack([_spherical_means(v if len(v) else top[i : i + 1], width) for i, v in enumerate(own)]))
+
+
+def _angle(cosine: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosine, -1.0, 1.0))
+
+
+def _stacked(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(float)
+
+
+def place_vectors(references: DataFrame, centres: Centres) -> DataFrame:
+    """``reference``, ``rv``, its leaf ``cell``, and its angles to the leaf's centre and to the one above."""
+    kind = dict(references.dtypes)
+
+    def place(batches):
+        for batch in batches:
+            if batch.empty:
+                continue
+            vectors = _stacked(batch["vector"])
+            up = vectors @ centres.top.T
+            top = up.argmax(1)
+            leaf, down = np.zeros(len(top), int), np.zeros(len(top))
+            for i in np.unique(top):
+                below = vectors[top == i] @ centres.leaves[i].T
+                leaf[top == i], down[top == i] = below.argmax(1), below.max(1)
+            cell = top * len(centres.top) + leaf
+            yield pd.DataFrame({"reference": batch["reference"], "rv": batch["vector"], "cell": cell, "angle": _angle(down), "top_angle": _angle(up.max(1))})
+
+    return references.select("reference", "vector").mapInPandas(
+        place, f"reference {kind['reference']}, rv {kind['vector']}, cell int, angle double, top_angle double"
+    )
+
+
+def _reach(angle: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """The greatest cosine that anything within ``radius`` of a centre can have at ``angle`` to it; below all where there is nothing."""
+    return np.where(radius < 0, -2.0, np.cos(np.maximum(angle - radius, 0.0)))
+
+
+def reachable_cells(asked: DataFrame, centres: Centres, tops: np.ndarray, radii: np.ndarray, first: int | None = None) -> DataFrame:
+    """``(query, cell)``: the ``first`` most promising leaves of each query, or all that can reach its ``bound``.
+
+    Leaves are looked at only below centres that can still reach the bound themselves.
+    """
+    kind = dict(asked.dtypes)["query"]
+    width = len(centres.top)
+
+    def cells(batches):
+        for batch in batches:
+            if batch.empty:
+                continue
+            vectors = _stacked(batch["vector"])
+            above = _reach(_angle(vectors @ centres.top.T), tops[None, :])
+            if first:
+                # Only leaves below the most promising centres come first; others have their turn with the bound.
+                near = np.argsort(-above, axis=1, kind="stable")[:, :first]
+                wanted = np.zeros(above.shape, bool)
+                np.put_along_axis(wanted, near, True, 1)
+                wanted &= above > -2.0
+            else:
+                bound = batch["bound"].fillna(-1.0 - EPS).to_numpy() - EPS
+                wanted = above >= bound[:, None]
+            rows, found, reach = [], [], []
+            for i in np.flatnonzero(wanted.any(0)):
+                own = np.flatnonzero(wanted[:, i])
+                below = _reach(_angle(vectors[own] @ centres.leaves[i].T), radii[i][None, :])
+                row, leaf = np.nonzero(below > -2.0 if first else below >= bound[own][:, None])
+                rows.append(own[row])
+                found.append(i * width + leaf)
+                reach.append(below[row, leaf])
+            if not rows:
+                continue
+            out = pd.DataFrame({"row": np.concatenate(rows), "cell": np.concatenate(found), "reach": np.concatenate(reach)})
+            if first:
+                out = out.sort_values(["row", "reach", "cell"], ascending=[True, False, True]).groupby("row").head(first)
+            yield pd.DataFrame({"query": batch["query"].to_numpy()[out["row"]], "cell": out["cell"].to_numpy()})
+
+    return asked.mapInPandas(cells, f"query {kind}, cell int")
+
+
+def nearest_vectors(queries: DataFrame, references: DataFrame, k: int = 5, leaves: int = 64) -> DataFrame:
     """``(query, reference, similarity, rank)`` of unit vectors by cosine.
 
     ``queries`` has ``query, vector`` and ``references`` has ``reference,
-    vector``.  Only groups of references whose angle bound can still reach a
-    query's k-th best similarity are compared with it.  A NULL vector is no
+    vector``.  References lie in the leaves of a tree of trained centres (about ``leaves`` of them, ``MOST_LEAVES`` at most);
+    only leaves whose angle bound can still reach a query's k-th best similarity are compared with it.  A NULL vector is no
     reference and finds none.
     """
     queries, references = queries.filter("vector is not null"), references.filter("vector is not null")
-    # At most `pivots` vectors reach the driver, whatever the table's size.
-    centres = [
-        r.vector
-        for r in references.orderBy(F.xxhash64("reference"), "reference").limit(pivots).collect()
-    ]
-    if not centres:
+    wanted = wanted_cells(queries, references, k, leaves)
+    if wanted is None:
         empty = queries.join(references.withColumnRenamed("vector", "rv"), F.lit(False))
         return empty.select(
             "query", "reference", F.lit(0.0).alias("similarity"), F.lit(1).alias("rank")
         )
-    matrix = np.array(centres, dtype="float64").T
-
-    @F.pandas_udf("array<double>")
-    def angles(vectors: pd.Series) -> pd.Series:
-        block = np.stack(vectors.to_numpy()).astype("float64") @ matrix
-        return pd.Series(list(np.arccos(np.clip(block, -1.0, 1.0))))
-
-    near = F.array_min("a")
-    refs = materialized(
-        references.withColumn("a", angles("vector")).select(
-            "reference",
-            F.col("vector").alias("rv"),
-            (F.array_position("a", near) - 1).cast("int").alias("cell"),
-            near.alias("angle"),
-        ),
-        "dense-refs",
-    )
-    cells = refs.groupBy("cell").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("rows"))
-    asked = materialized(
-        queries.select("query", "vector", F.posexplode(angles("vector")).alias("cell", "angle"))
-        # One row per query and pivot; the cell table has at most `pivots` rows.
-        .join(F.broadcast(cells), "cell")
-        .withColumn(
-            "reach",
-            F.cos(F.greatest(F.col("angle") - F.col("radius"), F.lit(0.0))),
-        )
-        .select("query", "cell", "reach", "rows"),
-        "dense-bounds",
-    )
-    first = top_k(asked, "query", [F.desc("reach"), F.asc("cell")], 3).drop("rank")
-    tried = materialized(_dense_scores(first, queries, refs, k), "dense-first")
-    bound = kth_best(tried, "query", "similarity", k)
-    more = (
-        asked.join(first.select("query", "cell"), ["query", "cell"], "left_anti")
-        .join(bound, "query", "left")
-        .filter(F.col("reach") >= F.coalesce(F.col("bound"), F.lit(-2.0)) - EPS)
-        .drop("bound")
-    )
+    refs, tried, more = wanted
     scores = tried.unionByName(_dense_scores(more, queries, refs, k)).withColumn(
         "similarity", F.round("similarity", DIGITS)
     )
     return top_k(scores, "query", [F.desc("similarity"), F.asc("reference")], k)
 
 
+def wanted_cells(queries: DataFrame, references: DataFrame, k: int, leaves: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """The placed references, the scores of the first leaves, and ``(query, cell, rows)`` of the leaves to compare as well."""
+    centres = train_centres(references, leaves)
+    if centres is None:
+        return None
+    refs = materialized(place_vectors(references, centres), "dense-refs")
+    # A row for each leaf with references: bounded by the tree, whatever the number of references.
+    cells = materialized(refs.groupBy("cell").agg(F.max("angle").alias("radius"), F.max("top_angle").alias("top_radius"), F.count(F.lit(1)).alias("rows")), "cells")
+    width = len(centres.top)
+    radii, tops = np.full((width, width), -1.0), np.full(width, -1.0)
+    for r in cells.collect():
+        i, j = divmod(r.cell, width)
+        radii[i, j], tops[i] = r.radius, max(tops[i], r.top_radius)
+    sizes = F.broadcast(cells.select("cell", "rows"))
+    first = materialized(reachable_cells(queries.select("query", "vector"), centres, tops, radii, FIRST_CELLS), "dense-first")
+    tried = materialized(_dense_scores(first.join(sizes, "cell"), queries, refs, k), "dense-scores")
+    bound = kth_best(tried, "query", "similarity", k)
+    more = reachable_cells(queries.select("query", "vector").join(bound, "query", "left"), centres, tops, radii)
+    more = materialized(more.join(first, ["query", "cell"], "left_anti").join(sizes, "cell"), "dense-more")
+    return refs, tried, more
+
+
 def _dense_scores(wanted: DataFrame, queries: DataFrame, refs: DataFrame, k: int) -> DataFrame:
     """The k best similarities (and ties) of queries in each bucket of the wanted cells.
 
@@ -423,6 +526,6 @@ def _dense_scores(wanted: DataFrame, queries: DataFrame, refs: DataFrame, k: int
     )
 
 
-def default_pivots(rows: int) -> int:
-    """About the square root of the reference count, between 1 and 256."""
-    return max(1, min(256, int(math.sqrt(rows))))
+def default_leaves(rows: int) -> int:
+    """About the square root of the reference count."""
+    return max(1, int(math.sqrt(rows)))

@@ -129,8 +129,8 @@ def test_vote(spark):
     assert "z" not in rows  # no weight, no category
 
 
-@pytest.mark.parametrize("pivots", [1, 8])
-def test_nearest_vectors_equal_brute_force(spark, monkeypatch, pivots):
+@pytest.mark.parametrize("leaves", [1, 8, 100])
+def test_nearest_vectors_equal_brute_force(spark, monkeypatch, leaves):
     monkeypatch.setattr(similarity, "BUCKET_ROWS", 16)
     rng = np.random.default_rng(3)
     refs = rng.normal(size=(120, 6))
@@ -142,7 +142,7 @@ def test_nearest_vectors_equal_brute_force(spark, monkeypatch, pivots):
         spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asks)], "query long, vector array<double>"),
         spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(refs)], "reference long, vector array<double>"),
         5,
-        pivots,
+        leaves,
     ).collect()
     got = defaultdict(list)
     for r in sorted(rows, key=lambda r: (r.query, r.rank)):
@@ -150,3 +150,45 @@ def test_nearest_vectors_equal_brute_force(spark, monkeypatch, pivots):
     sims = np.round(asks @ refs.T, 10)
     for i in range(len(asks)):
         assert got[i] == sorted(range(120), key=lambda j: (-sims[i, j], j))[:5]
+
+
+def test_clustered_vectors_are_compared_with_few(spark):
+    """Each query of 40 clusters is compared with less than a tenth of all references, and the result is exact."""
+    rng = np.random.default_rng(7)
+    middles = rng.normal(size=(40, 16))
+    refs = middles[np.arange(4000) % 40] + rng.normal(scale=0.05, size=(4000, 16))
+    asks = middles[np.arange(100) % 40] + rng.normal(scale=0.05, size=(100, 16))
+    refs /= np.linalg.norm(refs, axis=1, keepdims=True)
+    asks /= np.linalg.norm(asks, axis=1, keepdims=True)
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asks)], "query long, vector array<double>")
+    references = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(refs)], "reference long, vector array<double>")
+    placed, _, more = similarity.wanted_cells(queries, references, 5, 256)
+    sizes = {r.cell: r.n for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    compared = sum(r.rows for r in more.collect()) + 100 * similarity.FIRST_CELLS * max(sizes.values())
+    assert sum(sizes.values()) == 4000 and compared < 0.1 * 100 * 4000
+    got = defaultdict(list)
+    for r in sorted(similarity.nearest_vectors(queries, references, 5, 256).collect(), key=lambda r: (r.query, r.rank)):
+        got[r.query].append(r.reference)
+    sims = np.round(asks @ refs.T, 10)
+    assert all(got[i] == sorted(range(4000), key=lambda j: (-sims[i, j], j))[:5] for i in range(100))
+
+
+def test_candidate_blocks_grow_slower_than_queries_times_blocks(spark, monkeypatch):
+    """Twice the texts: the looked-up (query, block) rows grow with the queries, not with the product."""
+    monkeypatch.setattr(similarity, "BLOCK_GRAMS", 600)
+    words = [f"{a}{b}{c}" for a in ("pet", "mil", "car", "sal", "tol") for b in ("rol", "kan", "eem", "ary") for c in ("xu", "yo", "zi")]
+
+    def looked_up(n):
+        # Each word is common to about as many texts whatever n is: vocabularies grow with their corpus.
+        texts = [f"{words[i % 60]}{i // 60} {words[(7 * i) % 60]}{i // 60} {words[(11 * i) % 60]}" for i in range(n)]
+        frame = lambda rows: spark.createDataFrame([(t,) for t in sorted(set(rows))], "text string")
+        queries, references = similarity.numbered(frame([t + "s" for t in texts[::3]]), "query"), similarity.numbered(frame(texts), "reference")
+        refs, asked = similarity._weighted_grams(queries, references)
+        peaks = refs.groupBy("gid", "block").agg(F.max("rw").alias("peak"), F.max("rest").alias("ref_rest"))
+        first = similarity.first_blocks(asked, peaks)
+        bound = similarity.kth_best(similarity._score_texts(first, asked, refs, 5), "query", "similarity", 5)
+        rows = similarity.open_blocks(asked, peaks, bound).unionByName(first).distinct().count()
+        return rows, queries.count() * references.select("block").distinct().count()
+
+    (small, all_small), (large, all_large) = looked_up(600), looked_up(1200)
+    assert all_large > 3.5 * all_small and large < 2.7 * small and large < 0.5 * all_large
