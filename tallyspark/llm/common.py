@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import time
 import weakref
 from collections.abc import Callable, Iterator
 
@@ -15,7 +14,6 @@ from tallyspark.session import scratch_path
 
 #: A side is broadcast only if a count has shown that it has at most this many rows.
 BROADCAST_ROWS = 50_000
-GC_SECONDS = 4.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,20 +40,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return made
 
 
-_last_time = 0.0
-
-
 def let_go(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished plans.
+    """Let Spark drop the shuffle files of finished plans, on a cluster.
 
     It does when the driver collects its garbage, which a driver with little to do may not do for long; asking for
-    it, every few seconds at most, keeps the disk free for what follows.
+    it keeps the disks free for what follows.
     """
-    global _last_time
-    if time.monotonic() - _last_time > GC_SECONDS:
+    if not spark.sparkContext.master.startswith("local["):
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        _last_time = time.monotonic()
 
 
 #: Where the tables of ``written`` lie, as long as somebody holds them.
