@@ -30,9 +30,7 @@ def categorized(spark, sf):
 
 
 def cascaded(spark, sf):
-    return jobs.full_pass(
-        adapter.raw(spark, sf), lookups.approved_mappings(spark), dominant(spark, sf)
-    )
+    return jobs.categorize(adapter.raw(spark, sf), lookups.approved_mappings(spark))
 
 
 def categorization(spark, sf):
@@ -124,8 +122,7 @@ def j6(spark, sf):
 )
 def j7(spark, sf):
     rows = labelled(spark, sf).select("voucher_id", "clean_description", "source_category_id")
-    conflicts = gates.conflicting_keys(rows, ["clean_description"], "source_category_id")
-    return rows.join(conflicts, "clean_description", "left_semi").drop("source_category_id")
+    return gates.rows_in_conflict(rows, "clean_description", "source_category_id").drop("source_category_id")
 
 
 @query(
@@ -138,8 +135,7 @@ def j7(spark, sf):
 )
 def j8(spark, sf):
     rows = labelled(spark, sf).select("voucher_id", "clean_description", "source_category_id")
-    conflicts = gates.conflicting_keys(rows, ["clean_description"], "source_category_id")
-    return rows.join(conflicts, "clean_description", "left_anti").drop("source_category_id")
+    return gates.rows_in_conflict(rows, "clean_description", "source_category_id", inside=False).drop("source_category_id")
 
 
 _SEEDS = [

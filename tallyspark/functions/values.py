@@ -11,13 +11,12 @@ from tallyspark.functions import text
 BATCH_TYPES = ("Expense", "Income", "Transfer")
 INCREMENTAL_TYPES = ("Income", "Expense")
 
-# Accepted date layouts, tried in order.
-DATE_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy", "MM/dd/yyyy HH:mm", "MM/dd/yyyy HH:mm:ss",
-)
+# Accepted date layouts, by shape.
+PLAIN = r"^\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{3}(?:\d{3})?)?)?)?$"
+ZONED = r"^\d{4}-\d{2}-\d{2}(?: \d{2}:\d{2}:\d{2}|T\d{2}:\d{2}:\d{2}(?:\.\d{3}(?:\d{3})?)?)(?:Z|[+-]\d{2}:\d{2})$"
+YEAR_FIRST = r"^\d{4}/\d{2}/\d{2}(?: \d{2}:\d{2}:\d{2})?$"
+MONTH_FIRST = r"^\d{2}/\d{2}/\d{4}(?: \d{2}:\d{2}(?::\d{2})?)?$"
+MINUTES = 16
 
 
 def to_number(col: Column, dtype: str = "double") -> Column:
@@ -29,15 +28,25 @@ def to_number(col: Column, dtype: str = "double") -> Column:
     return value.try_cast(dtype)
 
 
-def to_timestamp(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+def to_timestamp(col: Column) -> Column:
+    """Timestamp or NULL.  The value's shape says which layout it has, so that each cell is parsed once."""
     value = text.strip(col.cast("string"))
-    return F.coalesce(
-        *[F.try_to_timestamp(value, F.lit(f)).cast("timestamp_ntz") for f in formats]
+
+    def local(plain: Column) -> Column:
+        whole = F.when(F.length(plain) == MINUTES, F.concat(plain, F.lit(":00"))).otherwise(plain)
+        return whole.try_cast("timestamp_ntz")
+
+    turned = F.concat(value.substr(7, 4), F.lit("-"), value.substr(1, 2), F.lit("-"), value.substr(4, 2), F.substring(value, F.lit(11), F.length(value)))
+    return (
+        F.when(value.rlike(PLAIN), local(value))
+        .when(value.rlike(ZONED), value.try_cast("timestamp").cast("timestamp_ntz"))
+        .when(value.rlike(YEAR_FIRST), local(F.translate(value, "/", "-")))
+        .when(value.rlike(MONTH_FIRST), local(turned))
     )
 
 
-def to_date(col: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    return to_timestamp(col, formats).cast("date")
+def to_date(col: Column) -> Column:
+    return to_timestamp(col).cast("date")
 
 
 def money(col: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions import values
 from tallyspark.functions.values import share
 from tallyspark.operators.cascade import contextual_lookup, small
+from tallyspark.operators.lookup import lookup
 
 # Engine constants.
 AUTO_ABOVE = 0.90
@@ -68,7 +69,7 @@ def with_history(df: DataFrame, history: DataFrame, text: str = "clean_descripti
         F.col("purity").alias("hist_purity"),
         F.col("support").alias("hist_support"),
     )
-    return df.join(table, text, "left").fillna(
+    return lookup(df, table, text).fillna(
         {"hist_purity": 0.0, "hist_support": 0}
     )
 

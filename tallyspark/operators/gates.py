@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import lookups
+from tallyspark.operators.lookup import lookup
 from tallyspark.operators.quality import key_checks
+from tallyspark.session import materialized
 
 
 class GateError(ValueError):
@@ -81,12 +83,21 @@ def families_outside(df: DataFrame, version: str = "v2") -> DataFrame:
 
 
 def require_families(df: DataFrame, version: str = "v2") -> DataFrame:
+    # All families are looked at; only the message ends after twenty.
     bad = [r[0] for r in families_outside(df, version).limit(20).collect()]
     if bad:
         raise GateError(f"Invalid canonical families: {sorted(bad)}")
     return df
 
 
+def checked_families(df: DataFrame, version: str = "v2") -> DataFrame:
+    """``df``; a row whose family is neither in the taxonomy nor UNMAPPED stops the job that reads it, without a pass of its own."""
+    family = F.col("canonical_family")
+    allowed = (*lookups.TAXONOMIES[version].values(), "UNMAPPED")
+    message = F.concat(F.lit("Invalid canonical family: "), family)
+    return df.withColumn("canonical_family", F.when(family.isNull() | family.isin(*allowed), family).otherwise(F.raise_error(message)))
+
+
 def conflicting_keys(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Keys that carry more than one value, with how many."""
     return (
@@ -94,3 +105,10 @@ def conflicting_keys(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
         .agg(F.count_distinct(value).alias("value_count"))
         .filter("value_count > 1")
     )
+
+
+def rows_in_conflict(rows: DataFrame, key: str, value: str, inside: bool = True) -> DataFrame:
+    """The rows whose key carries more than one value, or all others; a key may be hot."""
+    rows = materialized(rows, "conflict-rows")
+    conflicts = materialized(conflicting_keys(rows, [key], value), "conflicts")
+    return lookup(rows, conflicts, key, "left_semi" if inside else "left_anti")

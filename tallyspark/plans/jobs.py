@@ -26,6 +26,7 @@ from tallyspark.operators import (
     training,
     views,
 )
+from tallyspark.operators.lookup import lookup
 from tallyspark.session import materialized
 from tallyspark.sources import sinks
 
@@ -69,10 +70,14 @@ def incremental_load(raw: DataFrame, table: sinks.KeyedTable, as_of: Column) ->
     return incremental.reconcile(detected, table.read())
 
 
+def staged(raw: DataFrame, approved: DataFrame) -> DataFrame:
+    """Raw rows with their normalized columns and what the approved map and the keyword rules say."""
+    return cascade.with_approved(cascade.clean_inputs(raw), cascade.approved_lookup(approved))
+
+
 def first_pass(raw: DataFrame, approved: DataFrame) -> DataFrame:
     """Approved map and keyword rules only: what the category table and the model learn from."""
-    cleaned = cascade.clean_inputs(raw)
-    return cascade.resolve(cascade.with_approved(cleaned, cascade.approved_lookup(approved)))
+    return cascade.resolve(staged(raw, approved))
 
 
 def category_table(categorized: DataFrame) -> DataFrame:
@@ -87,18 +92,25 @@ def full_pass(
     dominant: DataFrame,
     model: classifier.TextModel | None = None,
 ) -> DataFrame:
-    """The whole cascade.  ``dominant`` is a written table; the model is optional.
+    """The whole cascade.  ``dominant`` is a written table; the model is optional."""
+    return second_pass(staged(raw, approved), dominant, model)
+
 
-    Predictions are made once per distinct open text and joined back by text.
+def second_pass(rows: DataFrame, dominant: DataFrame, model: classifier.TextModel | None = None) -> DataFrame:
+    """The whole cascade from ``staged`` rows, which are a written table where a model joins in.
+
+    Predictions are made once per distinct open text and joined back by text.  A family outside the taxonomy stops the job.
     """
-    cleaned = cascade.clean_inputs(raw)
-    staged = cascade.with_strong_category(
-        cascade.with_approved(cleaned, cascade.approved_lookup(approved)),
-        cascade.strong_categories(dominant),
-    )
+    rows = cascade.with_strong_category(rows, cascade.strong_categories(dominant))
     if model is not None:
-        staged = staged.join(model_decisions(staged, model), "description_clean", "left")
-    return gates.require_families(cascade.resolve(staged)) if model else cascade.resolve(staged)
+        rows = lookup(rows, materialized(model_decisions(rows, model), "decisions"), "description_clean")
+    return gates.checked_families(cascade.resolve(rows))
+
+
+def categorize(raw: DataFrame, approved: DataFrame) -> DataFrame:
+    """Both passes without a model; raw rows are cleaned and matched once."""
+    rows = materialized(staged(raw, approved), "staged")
+    return second_pass(rows, category_table(cascade.resolve(rows)))
 
 
 def model_decisions(staged: DataFrame, model: classifier.TextModel) -> DataFrame:
@@ -123,17 +135,26 @@ class Mapping:
     model: classifier.TextModel
 
 
-def map_transactions(raw: DataFrame, approved: DataFrame, model_path: str | None = None) -> Mapping:
-    """Bootstrap: first pass -> category table and model -> full cascade."""
-    pass1 = materialized(first_pass(raw, approved), "pass1")
+def map_transactions(
+    raw: DataFrame, approved: DataFrame, model_path: str | None = None, validation: DataFrame | None = None
+) -> Mapping:
+    """Bootstrap: first pass -> category table and model -> full cascade.
+
+    Raw rows are cleaned and matched once.  ``validation`` holds human-validated rows; their labels train the model as well.
+    """
+    rows = materialized(staged(raw, approved), "staged")
+    pass1 = cascade.resolve(rows)
     dominant = category_table(pass1)
-    train = materialized(training.training_set(training.trusted_rows(pass1)), "training")
-    rows = classifier.training_rows(train)
+    labels = [training.trusted_rows(pass1)]
+    if validation is not None:
+        labels.append(training.validated_rows(validation))
+    train = materialized(training.training_set(training.labelled_union(labels)), "training")
+    learned = classifier.training_rows(train)
     if model_path:
-        model = classifier.load_or_fit(raw.sparkSession, model_path, rows)
+        model = classifier.load_or_fit(raw.sparkSession, model_path, learned)
     else:
-        model = classifier.fit(rows)
-    return Mapping(full_pass(raw, approved, dominant, model), dominant, train, model)
+        model = classifier.fit(learned)
+    return Mapping(second_pass(rows, dominant, model), dominant, train, model)
 
 
 def evaluate_evidence(
@@ -162,7 +183,7 @@ def evaluate_evidence(
         .join(boosts, "clean_description", "left"),
         "evidence",
     )
-    rows = evidence.with_context(test, rules).join(per_text, "clean_description", "left")
+    rows = lookup(materialized(evidence.with_context(test, rules), "context"), per_text, "clean_description")
     detail = rows.withColumn("true_category", F.col("source_category_id"))
     return evidence.scored(evidence.combine(detail))
 

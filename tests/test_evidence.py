@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import evidence, similarity
+from tallyspark.session import materialized
 
 
 def combined(spark, **kw):
@@ -184,8 +185,8 @@ def test_candidate_blocks_grow_slower_than_queries_times_blocks(spark, monkeypat
         frame = lambda rows: spark.createDataFrame([(t,) for t in sorted(set(rows))], "text string")
         queries, references = similarity.numbered(frame([t + "s" for t in texts[::3]]), "query"), similarity.numbered(frame(texts), "reference")
         refs, asked = similarity._weighted_grams(queries, references)
-        peaks = refs.groupBy("gid", "block").agg(F.max("rw").alias("peak"), F.max("rest").alias("ref_rest"))
-        first = similarity.first_blocks(asked, peaks)
+        peaks = materialized(refs.groupBy("gid", "block").agg(F.max("rw").alias("peak"), F.max("rest").alias("ref_rest")), "peaks")
+        first = materialized(similarity.first_blocks(asked, peaks), "first")
         bound = similarity.kth_best(similarity._score_texts(first, asked, refs, 5), "query", "similarity", 5)
         rows = similarity.open_blocks(asked, peaks, bound).unionByName(first).distinct().count()
         return rows, queries.count() * references.select("block").distinct().count()
