@@ -272,13 +272,16 @@ def chk_family_domain(spark, sf):
         ["raw"],
         """SELECT voucher_id AS key, TRY_CAST(voucher_id AS BIGINT) AS voucher_id, TRY_CAST(consumer_id AS BIGINT) AS consumer_id,
            CAST(TRY_CAST(vch_amount AS DECIMAL(18,2)) AS DOUBLE) AS vch_amount, TRY_CAST(vch_year AS INT) AS vch_year,
-           CAST(TRY_CAST(fc_rate AS DECIMAL(18,6)) AS DOUBLE) AS fc_rate,
+           CAST(TRY_CAST(fc_rate AS DECIMAL(18,6)) AS DOUBLE) AS fc_rate, TRY_CAST(id AS BIGINT) AS id,
+           TRY_CAST(account_id AS BIGINT) AS account_id, TRY_CAST(vch_month AS INT) AS vch_month, TRY_CAST(vch_day AS INT) AS vch_day,
+           CAST(TRY_CAST(fc_amount AS DECIMAL(18,2)) AS DOUBLE) AS fc_amount,
            TRY_CAST(category_id AS DOUBLE) AS category_id FROM raw""",
     ),
 )
 def p1(spark, sf):
+    """All eleven numeric columns."""
     df = clean.numbers(adapter.raw(spark, sf).withColumn("key", F.col("voucher_id")))
-    return df.select("key", "voucher_id", "consumer_id", "vch_amount", "vch_year", "fc_rate", "category_id")
+    return df.select("key", *clean.TYPES, "vch_amount", "fc_amount", "fc_rate", "category_id")
 
 
 @query(
@@ -566,6 +569,28 @@ def q3_ranges(spark, sf):
     return quality.value_ranges(adapter.production(spark, sf))
 
 
+@query(
+    "Q3_distributions",
+    sql(
+        ["cat"],
+        """SELECT 'canonical_mapping_status' AS part, canonical_mapping_status AS first, CAST(NULL AS VARCHAR) AS second, count(*) AS row_count FROM cat GROUP BY 2
+           UNION ALL SELECT 'canonical_id,canonical_family', CAST(canonical_id AS VARCHAR), canonical_family, count(*) FROM cat GROUP BY 2, 3
+           UNION ALL SELECT 'category_id', category_id, NULL, count(*) FROM cat GROUP BY 2
+           UNION ALL SELECT 'vch_type', vch_type, NULL, count(*) FROM cat GROUP BY 2
+           UNION ALL SELECT 'missing', 'canonical_id', NULL, count(*) FILTER (WHERE canonical_id IS NULL) FROM cat
+           UNION ALL SELECT 'missing', 'canonical_family', NULL, count(*) FILTER (WHERE canonical_family IS NULL) FROM cat""",
+    ),
+)
+def q3_distributions(spark, sf):
+    """Status, (id, family), category and type distributions of the categorized rows in one scan, and missing canonical values."""
+    from tallyspark.checks.mapping import categorized
+
+    rows = categorized(spark, sf)
+    groups = [["canonical_mapping_status"], ["canonical_id", "canonical_family"], ["category_id"], ["vch_type"]]
+    missing = quality.missing_counts(rows, ["canonical_id", "canonical_family"])
+    return quality.distributions(rows, groups).unionByName(missing)
+
+
 @query(
     "Q4_etl_status",
     sql(

@@ -304,13 +304,13 @@ def g8(spark, sf):
     "G9_class_cap",
     sql(
         ["cat"],
-        """SELECT canonical_family, voucher_id FROM (SELECT canonical_family, voucher_id, row_number() OVER (
-             PARTITION BY canonical_family ORDER BY md5('42|' || voucher_id), voucher_id) AS rn FROM cat) WHERE rn <= 500""",
+        f"""SELECT canonical_family, voucher_id FROM (SELECT canonical_family, voucher_id, row_number() OVER (
+             PARTITION BY canonical_family ORDER BY md5('42|' || voucher_id), voucher_id) AS rn FROM cat) WHERE rn <= {lookups.MAX_PER_CLASS}""",
     ),
 )
 def g9(spark, sf):
     rows = categorized(spark, sf).select("canonical_family", "voucher_id")
-    return training.capped(rows, "canonical_family", "voucher_id", cap=500)
+    return training.capped(rows, "canonical_family", "voucher_id")
 
 
 @query(

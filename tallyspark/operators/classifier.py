@@ -151,6 +151,33 @@ def fit(rows: DataFrame, max_iter: int = 2000) -> TextModel:
     )
 
 
+def slopes(model: TextModel, rows: DataFrame) -> DataFrame:
+    """How far a fit is from its optimum: ``label``, ``train_rows``, ``terms``, and the steepest slope at the model and ``at_zero``.
+
+    The slope of the penalised, weighted log loss by each coefficient is summed by joins over the training rows, apart from the
+    solver; at the optimum all are 0.  ``at_zero`` is the steepest one of the model that knows nothing.
+    """
+    spark = rows.sparkSession
+    rows = materialized(class_weights(rows), "slope-rows")
+    total, every = rows.agg(F.sum("weight").alias("w"), F.count(F.lit(1)).alias("n")).first()
+    scored = probabilities(model, rows.select("text").distinct())
+    labels = F.array(*[F.lit(c) for c in model.classes])
+    miss = F.transform(labels, lambda c, i: F.get("probabilities", i) - F.when(c == F.col("label"), 1.0).otherwise(0.0))
+    blank = F.transform(labels, lambda c: F.lit(1.0 / len(model.classes)) - F.when(c == F.col("label"), 1.0).otherwise(0.0))
+    errors = materialized(rows.join(scored, "text").select("row_id", "weight", miss.alias("miss"), blank.alias("blank")), "slope-errors")
+    grams = unit_weights(token_counts(rows, "row_id", "text"), small(model.terms.select("gram", "idf")), "row_id", sublinear())
+    sums = grams.join(errors, "row_id").select("gram", (F.col("w") * F.col("weight")).alias("x"), F.posexplode(F.arrays_zip("miss", "blank")).alias("k", "e"))
+    sums = sums.groupBy("gram", "k").agg((F.sum(F.col("x") * F.col("e.miss")) / total).alias("s"), (F.sum(F.col("x") * F.col("e.blank")) / total).alias("z"))
+    held = model.terms.select("gram", F.posexplode("coefficients").alias("k", "b"))
+    # The penalty is 1 / rows, as in the fit.
+    steep = held.join(sums, ["gram", "k"], "left").groupBy("k").agg(
+        F.max(F.abs(F.coalesce("s", F.lit(0.0)) + F.col("b") / every)).alias("slope"), F.max(F.abs("z")).alias("at_zero"), F.count(F.lit(1)).alias("terms")
+    )
+    names = spark.createDataFrame(list(enumerate(model.classes)), "k int, label string")
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("train_rows"))
+    return names.join(steep, "k").join(sizes, "label").select("label", "train_rows", "terms", "slope", "at_zero")
+
+
 def load_or_fit(spark: SparkSession, path: str, rows: DataFrame) -> TextModel:
     """The saved model if there is a whole one, else fit from the training rows and save."""
     if path_exists(spark, f"{path}/classes/_SUCCESS"):  # written last

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -140,6 +141,33 @@ def profile_table(df: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def distributions(df: DataFrame, groups: Sequence[Sequence[str]]) -> DataFrame:
+    """``part``, ``first``, ``second``, ``row_count``: how often each value, or pair of values, of several groups of one or two columns occurs.
+
+    One scan for all groups (grouping sets); each task sums before anything is shuffled.  NULL is a value of its own.
+    """
+    columns = list(dict.fromkeys(c for group in groups for c in group))
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    # A bit for each column, the first one highest: set where the group leaves the column out.
+    left_out = lambda group: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in group)
+    sets = texts.groupingSets([[F.col(c) for c in group] for group in groups], *columns)
+    counted = sets.agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("row_count"))
+    pick = lambda of: functools.reduce(lambda c, g: c.when(F.col("_set") == left_out(g), of(g)), groups, F)
+    return counted.select(
+        pick(lambda g: F.lit(",".join(g))).alias("part"),
+        pick(lambda g: F.col(g[0])).alias("first"),
+        pick(lambda g: F.col(g[1]) if len(g) > 1 else F.lit(None).cast("string")).alias("second"),
+        "row_count",
+    )
+
+
+def missing_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``part`` (missing), ``first`` (a column), ``second`` (NULL) and ``row_count``: its NULLs."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    rows = F.array(*[F.struct(F.lit(c).alias("first"), F.col(c).alias("row_count")) for c in columns])
+    return counts.select(F.inline(rows)).select(F.lit("missing").alias("part"), "first", F.lit(None).cast("string").alias("second"), "row_count")
+
+
 def value_ranges(df: DataFrame) -> DataFrame:
     return df.agg(
         F.min("amount").alias("min_amount"),

@@ -12,7 +12,7 @@ QUICK = [
     "P8_normalize_evidence_documents", "J9_term_containment", "G8_drop_duplicates", "T3_proposal_groups",
     "M7_cascade_resolve", "M10_category_family_matrix", "A1_monthly_summary", "A3_consumer_summary",
     "A7_category_summary", "Q1_validate_table", "I2_transform_new", "K4_idempotent_insert", "E1_historical_fit",
-    "E4_knn_vote", "E5_embedding_knn_vote", "E12_evaluate_decisions", "L3_training_set", "L6_threshold_grid",
+    "E4_knn_vote", "E5_embedding_knn_vote", "E12_evaluate_decisions", "L3_training_set", "L4_text_classifier", "L6_threshold_grid", "M6_ml_apply",
 ]
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
