@@ -12,17 +12,22 @@ Only built-in expressions run.  Item seeds are broadcast if they are counted to
 else joined by a shuffle; hits are reduced to distinct placements before anything is
 verified, so a passage that a third of all documents hold costs one placement for each.
 
-Defined results: null and empty texts have no words; items of fewer than 8 words are not
-looked for; items with the same words count once, under their smallest id; documents
+Items of 1 to 7 words have no window for the masks: they are looked for whole and unchanged, by the hash of all
+their words at every place.
+
+Defined results: null and empty texts have no words; items without words are not looked for; items with the same words count once, under their smallest id; documents
 with one doc_id (null included) are judged together; repeated rows stay repeated.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import broadcast_if_small
+from tallyspark.llm.common import broadcast_if_small, unused
 from tallyspark.session import materialized
 
 # For 8 and 9 words with one substitution, and for 10 to 13 with two, one of these masks always fits.
@@ -52,10 +57,25 @@ def with_seeds(df: DataFrame, hashes: str) -> DataFrame:
     return placed.withColumn("seed", F.explode(F.array(*[seed(number, mask) for number, mask in enumerate(MASKS)])))
 
 
+def _run(hashes: str, at: Column, n: int) -> Column:
+    return F.xxhash64(F.lit(-n), *[F.get(hashes, at + k) for k in range(n)])
+
+
+def with_short(df: DataFrame, hashes: str, lengths: Sequence[int]) -> DataFrame:
+    """One row for every run of one of these numbers of words at every place ``at``, with its ``seed``."""
+    held = df.withColumn(hashes, F.explode(F.array(hashes)))
+    placed = held.withColumn("at", F.explode(F.sequence(F.lit(0), F.size(hashes) - 1, F.lit(1))))
+
+    def seed(n: int) -> Column:
+        return F.when(F.col("at") + n <= F.size(hashes), _run(hashes, F.col("at"), n))
+
+    return placed.withColumn("seed", F.explode(F.array(*map(seed, lengths)))).dropna(subset=["seed"])
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long"), words(F.col("text").cast("string")).alias("item_words"))
     return (
-        items.filter(F.size("item_words") >= LEAST_ITEM)
+        items.filter(F.size("item_words") > 0)
         .groupBy("item_words")
         .agg(F.min("item_id").alias("item"))
         .withColumn("item_key", F.monotonically_increasing_id())
@@ -65,13 +85,22 @@ def _items(benchmark: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Verified leaks: ``doc_key`` (the doc_id as text, or ``null``), ``item``, ``matched`` and ``needed`` words."""
     items = materialized(_items(benchmark), "leak-items")
-    item_seeds = with_seeds(items, "item_words").select("item_key", "seed", F.col("at").alias("item_at")).dropna()
+    long, short = items.filter(F.size("item_words") >= LEAST_ITEM), items.filter(F.size("item_words").between(1, LEAST_ITEM - 1))
+    item_seeds = with_seeds(long, "item_words").select("item_key", "seed", F.col("at").alias("item_at")).dropna()
+    # At most LEAST_ITEM - 1 lengths.
+    lengths = sorted(r["n"] for r in short.select(F.size("item_words").alias("n")).distinct().collect())
+    if lengths:
+        runs = functools.reduce(lambda c, n: c.when(F.size("item_words") == n, _run("item_words", F.lit(0), n)), lengths, F)
+        item_seeds = item_seeds.union(short.select("item_key", runs.alias("seed"), F.lit(0).alias("item_at")))
     item_seeds = broadcast_if_small(materialized(item_seeds, "leak-seeds"), SEED_ROWS)
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null")).alias("doc_key"), F.col("text").cast("string").alias("text")
     )
     hashed = keyed.select("doc_key", words(F.col("text")).alias("doc_words"))
-    doc_seeds = with_seeds(hashed.filter(F.size("doc_words") > 0), "doc_words").select("doc_key", "seed", "at")
+    hashed_words = hashed.filter(F.size("doc_words") > 0)
+    doc_seeds = with_seeds(hashed_words, "doc_words").select("doc_key", "seed", "at")
+    if lengths:
+        doc_seeds = doc_seeds.union(with_short(hashed_words, "doc_words", lengths).select("doc_key", "seed", "at"))
     placements = (
         doc_seeds.join(item_seeds, "seed")
         .select("doc_key", "item_key", (F.col("at") - F.col("item_at")).alias("shift"))
@@ -131,7 +160,8 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no leaked item, with all their columns."""
-    found = materialized(leaks(docs, benchmark).select(F.col("doc_key").alias("_leaked_key")).distinct(), "leaks")
+    name = unused(docs, "leaked")
+    found = materialized(leaks(docs, benchmark).select(F.col("doc_key").alias(name)).distinct(), "leaks")
     key = F.coalesce(docs["doc_id"].cast("long").cast("string"), F.lit("null"))
     found = broadcast_if_small(found)
-    return docs.join(found, key == F.col("_leaked_key"), "left_anti")
+    return docs.join(found, key == F.col(name), "left_anti")

@@ -144,8 +144,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> trees.F
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(fit_rows)
     )
-    chosen = docs.join(F.broadcast(known.select(F.col("doc_id").alias("_label_id"))), F.col("doc_id") == F.col("_label_id"), "left_semi")
-    rows = statistics(chosen).join(F.broadcast(known), "doc_id").select("good", *COUNTS).limit(4 * fit_rows).collect()
+    chosen = docs.select("doc_id", "text")
+    chosen = chosen.join(F.broadcast(known.select(F.col("doc_id").alias("label_id"))), F.col("doc_id") == F.col("label_id"), "left_semi")
+    # One row for a doc_id, however often it is repeated: as many rows as labels at most.
+    counted = statistics(chosen).groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("counts"))
+    rows = counted.join(F.broadcast(known), "doc_id").select("good", "counts.*").collect()
     good = np.array([r["good"] for r in rows], float)
     if len(set(good)) < 2:
         return None

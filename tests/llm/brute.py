@@ -74,14 +74,14 @@ def bench_words(text):
 
 
 def leaks(text, items):
-    """Ids of the items with a window of 13 words (or all, from 8 on) in the text, a fifth substituted at most."""
+    """Ids of the items with a window of 13 words (or all) in the text, a fifth substituted at most; below 8 words all unchanged."""
     words, found = bench_words(text), set()
     for item_id, item in items:
         other = bench_words(item)
         size = min(13, len(other))
-        if len(other) < 8:
+        if not other:
             continue
-        needed = size - math.floor(size * 0.2)
+        needed = size - (math.floor(size * 0.2) if size >= 8 else 0)
         for shift in range(-len(other) + size, len(words) - size + 1):
             pairs = [(j, j + shift) for j in range(len(other)) if 0 <= j + shift < len(words)]
             same = [other[a] == words[b] for a, b in pairs]
