@@ -25,6 +25,8 @@ from tallyspark.llm.components import components
 
 #: Members of a tile, and the sum of their sizes (characters or shingles), about.
 TILE, TILE_SIZE = 1024, 1 << 20
+#: Tiles of so many members at most are compared pair by pair.
+FEW = 8
 
 #: Texts -> for each shingle of each text its text's number and a hash of 64 bits, with repeats, in the order of texts.
 Cut = Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]
@@ -49,18 +51,52 @@ class Sets:
         return np.add.reduceat(np.minimum(held[self.ids[at]], self.counts[at]), np.cumsum(widths) - widths)
 
 
-def spanning(cut: Cut, least: float, weighted: bool, left: tuple, right: tuple | None = None) -> Iterator[tuple[int, int]]:
-    """Links of similar texts that join components: within one tile, or between two.
+Tile = tuple[Sequence[int], Sequence[int], list[np.ndarray]]  # nodes, roots, hashes of the shingles of each
 
-    A tile is its nodes, their roots and their texts.
-    """
-    nodes, roots, texts = left if right is None else tuple([*a, *b] for a, b in zip(left, right))
-    nodes, border = np.asarray(nodes), len(left[0])
-    component = np.unique(np.asarray(roots), return_inverse=True)[1]
+
+def hashes_of(cut: Cut, texts: Sequence[str]) -> list[np.ndarray]:
     of_text, hashes = cut(texts)
-    ids = np.unique(hashes, return_inverse=True)[1] if len(hashes) else hashes.astype(np.int64)
+    ends = np.searchsorted(of_text, np.arange(len(texts) + 1))
+    return [hashes[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def spanning(least: float, weighted: bool, left: Tile, right: Tile | None = None) -> Iterator[tuple[int, int]]:
+    """Links of similar texts that join components: within one tile, or between two."""
+    nodes, roots, hashes = left if right is None else tuple([*a, *b] for a, b in zip(left, right))
+    compare = _few if len(nodes) <= FEW else _many
+    yield from compare(least, weighted, nodes, roots, hashes, len(left[0]) if right is not None else None)
+
+
+def _few(least: float, weighted: bool, nodes: Sequence[int], roots: Sequence[int], hashes: list[np.ndarray], border: int | None) -> Iterator[tuple[int, int]]:
+    """Pair by pair, for tiles so small that their sets need no common numbering."""
+    sets = [np.unique(h, return_counts=weighted) for h in hashes]
+    sizes = [int(s[1].sum()) if weighted else len(s) for s in sets]
+    component = list(roots)
+    order = sorted((i for i, n in enumerate(sizes) if n), key=sizes.__getitem__)
+    for place, x in enumerate(order):
+        for y in order[place + 1 :]:
+            if component[x] == component[y] or border is not None and (x < border) == (y < border):
+                continue
+            if sizes[x] < least * sizes[y] - 1e-9:
+                break
+            if weighted:
+                _, i, j = np.intersect1d(sets[x][0], sets[y][0], assume_unique=True, return_indices=True)
+                common = int(np.minimum(sets[x][1][i], sets[y][1][j]).sum())
+            else:
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if common / (sizes[x] + sizes[y] - common) >= least:
+                yield int(nodes[x]), int(nodes[y])
+                component = [component[x] if c == component[y] else c for c in component]
+
+
+def _many(least: float, weighted: bool, nodes: Sequence[int], roots: Sequence[int], hashes: list[np.ndarray], border: int | None) -> Iterator[tuple[int, int]]:
+    """One text against all larger ones at a time."""
+    nodes = np.asarray(nodes)
+    component = np.unique(np.asarray(roots), return_inverse=True)[1]
+    of_text, every = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes]), np.concatenate(hashes)
+    ids = np.unique(every, return_inverse=True)[1] if len(every) else every.astype(np.int64)
     width = int(ids.max()) + 1 if len(ids) else 1
-    sets = Sets(of_text, ids, len(texts), width, weighted)
+    sets = Sets(of_text, ids, len(hashes), width, weighted)
     order = np.argsort(sets.sizes, kind="stable")
     order = order[sets.sizes[order] > 0]
     sizes = sets.sizes[order]
@@ -70,7 +106,7 @@ def spanning(cut: Cut, least: float, weighted: bool, left: tuple, right: tuple |
         end = np.searchsorted(sizes, sizes[place] / least + 1e-9, "right")
         some = order[place + 1 : end]
         some = some[component[some] != component[x]]
-        if right is not None:
+        if border is not None:
             some = some[(some < border) != (x < border)]
         if not len(some):
             continue
@@ -88,12 +124,25 @@ def _compared(rows: DataFrame, cut: Cut, least: float, weighted: bool) -> DataFr
     """Links found in rows of ``left`` and ``right`` (null: within ``left``), arrays of node, root and text."""
 
     def make():
-        def tile(items: pa.StructScalar) -> tuple | None:
-            return tuple(x.to_pylist() for x in items.values.flatten()) if items.is_valid else None
+        def found(tiles: list[list[tuple]]) -> Iterator[tuple[int, int]]:
+            # Shingles are cut for many tiles at once.
+            hashes = iter(hashes_of(cut, [text for row in tiles for tile in row for text in tile[2]]))
+            for row in tiles:
+                yield from spanning(least, weighted, *[(nodes, roots, [next(hashes) for _ in texts]) for nodes, roots, texts in row])
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [link for x, y in zip(batch.column(0), batch.column(1)) for link in spanning(cut, least, weighted, tile(x), tile(y))]
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)], names=["a", "b"])
+            links: list[tuple[int, int]] = []
+            held, size = [], 0
+            for sides in zip(batch.column(0), batch.column(1)):
+                row = [tuple(x.to_pylist() for x in items.values.flatten()) for items in sides if items.is_valid]
+                held.append(row)
+                size += sum(len(text) for tile in row for text in tile[2])
+                if size >= TILE_SIZE:
+                    links += found(held)
+                    held, size = [], 0
+            if held:
+                links += found(held)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], names=["a", "b"])
 
         return step
 

@@ -36,7 +36,7 @@ def wanted(texts, weighted=True):
 def test_a_tile_gives_only_spanning_links(weighted):
     texts = near_texts() + ["", "a b", "a b", "a a a a a a a", "a a a a a a a a"]
     n = len(texts)
-    links = list(linking.spanning(dm.cut, 0.8, weighted, (list(range(n)), list(range(n)), texts)))
+    links = list(linking.spanning(0.8, weighted, (list(range(n)), list(range(n)), linking.hashes_of(dm.cut, texts))))
     assert classes(n, links) == wanted(texts, weighted)
     assert len(links) == n - len(wanted(texts, weighted))
 
@@ -45,14 +45,29 @@ def test_two_thousand_copies_give_fewer_links_than_copies():
     rng = random.Random(3)
     words = [f"w{k}" for k in range(300)]
     texts = [" ".join(words[:k] + [f"x{n}"] + words[k + 1 :]) for n, k in ((n, rng.randrange(300)) for n in range(2000))]
-    tiles = [(list(range(a, a + 1000)), list(range(a, a + 1000)), texts[a : a + 1000]) for a in (0, 1000)]
-    links = [x for tile in tiles for x in linking.spanning(dm.cut, 0.8, True, tile)]
-    between = list(linking.spanning(dm.cut, 0.8, True, *tiles))
+    hashes = linking.hashes_of(dm.cut, texts)
+    tiles = [(list(range(a, a + 1000)), list(range(a, a + 1000)), hashes[a : a + 1000]) for a in (0, 1000)]
+    links = [x for tile in tiles for x in linking.spanning(0.8, True, tile)]
+    between = list(linking.spanning(0.8, True, *tiles))
     assert len(links) == 1998 and len(between) <= 1999
     assert len(classes(2000, links + between)) == 1
     # What is in one component already gives no link.
     one = [(nodes, [0] * 1000, t) for nodes, _, t in tiles]
-    assert list(linking.spanning(dm.cut, 0.8, True, *one)) == []
+    assert list(linking.spanning(0.8, True, *one)) == []
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_small_tiles_give_the_same_links_as_large_ones(weighted, monkeypatch):
+    texts = near_texts(40, 12, 5) + ["", "a a a a a a a", "a a a a a a a a"]
+    hashes = linking.hashes_of(dm.cut, texts)
+    found = []
+    for few in (0, 100):
+        monkeypatch.setattr(linking, "FEW", few)
+        n = len(texts)
+        one = list(linking.spanning(0.8, weighted, (range(n), range(n), hashes)))
+        two = list(linking.spanning(0.8, weighted, (range(20), range(20), hashes[:20]), (range(20, n), range(20, n), hashes[20:])))
+        found.append((classes(n, one), classes(n, two)))
+    assert found[0] == found[1] and found[0][0] == wanted(texts, weighted)
 
 
 def members_of(spark, bands, texts):
