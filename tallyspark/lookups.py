@@ -500,13 +500,6 @@ CONTEXTUAL_RULES = [
 ]
 
 
-def taxonomy(spark: SparkSession, version: str = "v2") -> DataFrame:
-    """``(canonical_id, family)`` of one taxonomy version."""
-    return spark.createDataFrame(
-        list(TAXONOMIES[version].items()), "canonical_id int, family string"
-    )
-
-
 def crosswalk(spark: SparkSession) -> DataFrame:
     """``(v1_id, v2_id)`` for moving old approved ids to the current taxonomy."""
     return spark.createDataFrame(list(CROSSWALK_V1_V2.items()), "v1_id int, v2_id int")
