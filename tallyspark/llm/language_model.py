@@ -1,51 +1,62 @@
 """Word n-gram scores of whole texts by a weighted backoff automaton.
 
 Tokens are words (cut at blanks and ASCII control white space, A-Z in lower case) and one
-end per text, which also is the history of a text's first word.  Words that are counted at
-least ``word_share`` of all training tokens are the *common* words, of which there are at
-most ``1 / word_share``; n-grams of two and more words are states and arcs if they make up
-``gram_share`` of the tokens, hence at most ``1 / gram_share`` for each length.  These two
-sets are all that is sent to every task, and their size does not grow with the corpus.
-An n-gram can only be that frequent if its parts are, so each length is counted exactly
-over the whole corpus while only n-grams of frequent parts are shuffled.
-
-The single-word level knows every word of the corpus: probability
-``(c + 0.5) / (N + 0.5 (V + 1))``, the rest being one unknown word.  Longer n-grams are
-discounted, and what the discount leaves goes over the failure arc to the next shorter
-history, so the probabilities after any history sum to one.  A text is scored in one pass
-from left to right.  A rare word is no arc of any state, so the pass only takes failure arcs
-there and the count of the word is joined afterwards; rare words are shuffled by word.
+end per text, which also is the history of a text's first word.  All words and all n-grams
+of up to three words of all training texts are counted; nothing is cut, so the model grows
+with the corpus.
+
+A history of one or two words is a state if it occurs in training.  An n-gram that occurs is
+an arc from its history; a word that does not follow a state takes the failure arc to the
+next shorter history.  Single words have the probability ``(c + 0.5) / (N + 0.5 (V + 1))``,
+the rest being one unknown word.  A longer history takes ``STRENGTH`` more tokens from the
+next shorter one: ``(c(h w) + STRENGTH * p(w | shorter h)) / (c(h) + STRENGTH)``, so a
+failure arc weighs ``STRENGTH / (c(h) + STRENGTH)`` and the probabilities after any history
+sum to one.
+
+No task holds the whole automaton.  Texts are gathered into blocks of bounded size and
+written, training and held-out texts apart.  A block sends each of its n-grams once, in
+sorted slices by ranges of 64-bit hashes; a range adds up the counts of all blocks and
+answers every block with the counts of its own n-grams.  With these the block has all arcs
+and failure arcs that its texts can take, and walks each text once from left to right.  A
+frequent n-gram is one number in each slice, so no range is larger for it.  The number of
+ranges grows with the tokens; a range holds about ``RANGE_GRAMS`` numbers.
+
+Words and n-grams are told apart by their hashes: of 10^12 different ones about one in 40
+million shares its count with another.
 
 Defined results: a null text is empty and has the end token only; a null doc_id counts as
 training; repeated rows count and are scored one by one; without training texts every
-token is unknown.
+token is unknown and has probability one.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import by_batch
-from tallyspark.session import materialized
+from tallyspark.llm.common import by_batch, written
 
-#: Least shares of all training tokens for a common word and for a stored n-gram.
-WORD_SHARE = 2e-6
-GRAM_SHARE = 5e-5
+#: Tokens that a history takes from the next shorter one.
+STRENGTH = 5.0
 ORDER = 3
-DISCOUNT = 0.5
 FOLDS, HELD_OUT_FOLD = 5, 1
 #: The end token; no word is empty.
 END = b""
-#: Distinct words after which a task passes its counts on.
-FLUSH = 1_000_000
+#: Tokens after which a block is closed (a longer text is a block of its own) and n-grams of a hash range.
+BLOCK_TOKENS = 1_000_000
+RANGE_GRAMS = 4_000_000
+#: Distinct words whose hashes a task remembers.
+REMEMBERED = 1_000_000
+
+#: Odd multiplier that spreads word hashes before the next word is added.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -59,272 +70,248 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold == HELD_OUT_FOLD, F.lit(False))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``word`` (bytes; the end token is empty) and ``n`` over the only column of ``texts``."""
+class Hashes(dict):
+    """Word -> 64-bit hash, remembered for the words met so far."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = made = xxhash.xxh3_64_intdigest(word)
+        return made
 
-        def flushed() -> pa.RecordBatch:
-            columns = [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())]
-            seen.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
+def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Texts gathered into rows: ``block``, ``train``, ``n_tokens``, and the lists ``ids`` and ``texts``."""
+    kinds = [("block", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, made = TaskContext.get().partitionId() << 32, 0
+        gathered = {side: ([], [], []) for side in (False, True)}
+
+        def closed(side: bool) -> pa.RecordBatch:
+            nonlocal made
+            ids, texts, sizes = gathered[side]
+            row = [[first + made], [side], [sum(sizes)], [list(ids)], [list(texts)]]
+            for gone in (ids, texts, sizes):
+                gone.clear()
+            made += 1
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, (_, k) in zip(row, kinds)], names=[n for n, _ in kinds])
+
+        open_tokens = {False: 0, True: 0}
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(tokens(text.as_py()))
-                seen[END] += 1
-                if len(seen) >= FLUSH:
-                    yield flushed()
-        yield flushed()
-
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Automaton:
-    """States are histories, 0 the empty one.  Arcs are keyed by ``state * size + word``."""
-
-    size: int
-    words: dict[bytes, int]
-    single: list[float]
-    inner: int = 0
-    arcs: dict[int, tuple[float, int]] = field(default_factory=dict)
-    failure: list[int] = field(default_factory=lambda: [0])
-    backoff: list[float] = field(default_factory=lambda: [0.0])
-    after: list[int] = field(default_factory=list)
-    to_empty: list[float] = field(default_factory=list)
-    start: int = 0
-
-    def score(self, numbers: list[int]) -> float:
-        """Log10 probability of a text's word numbers and its end, but for the single-word part of rare words (-1).
-
-        Words are numbered by falling count, so those below ``inner`` may be on arcs.
-        """
-        state, total = self.start, 0.0
-        arcs, single, failure, backoff = self.arcs, self.single, self.failure, self.backoff
-        after, to_empty, size, inner = self.after, self.to_empty, self.size, self.inner
-        for word in numbers:
-            if word >= inner or word < 0:
-                total += to_empty[state]
-                state = 0
-                if word >= 0:
-                    total += single[word]
-                continue
-            while True:
-                arc = arcs.get(state * size + word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                if not state:
-                    total += single[word]
-                    state = after[word]
-                    break
-                total += backoff[state]
-                state = failure[state]
-        return total
-
-
-def build(words: list[bytes], counts: list[int], inner: int, grams: list[dict[tuple[int, ...], int]], n_tokens: int, n_words: int) -> Automaton:
-    """The automaton of common ``words`` (by falling count) and of ``grams``, one dict for each length from 2 on."""
-    scale = n_tokens + 0.5 * (n_words + 1)
-    chance: dict[tuple[int, ...], float] = {(w,): (c + 0.5) / scale for w, c in enumerate(counts)}
-    made = Automaton(max(1, len(words)), {w: i for i, w in enumerate(words)}, [math.log10(chance[(w,)]) for w in range(len(words))])
-    made.inner = inner
-    occurs = {(w,): c for w, c in enumerate(counts[:inner])} | {g: c for level in grams for g, c in level.items()}
-    followers: dict[tuple[int, ...], list[int]] = {}
-    for level in grams:
-        for gram in level:
-            followers.setdefault(gram[:-1], []).append(gram[-1])
-    # Shorter histories first: the chance of a word after a history needs the shorter one's.
-    left: dict[tuple[int, ...], float] = {}
-
-    def after_history(history: tuple[int, ...], word: int) -> float:
-        factor = 1.0
-        while history:
-            found = chance.get((*history, word))
-            if found is not None:
-                return factor * found
-            factor *= left.get(history, 1.0)
-            history = history[1:]
-        return factor * chance[(word,)]
-
-    for history in sorted(followers, key=len):
-        direct = {w: (occurs[(*history, w)] - DISCOUNT) / occurs[history] for w in followers[history]}
-        beyond = sum(after_history(history[1:], w) for w in direct)
-        left[history] = max(1e-12, 1 - sum(direct.values())) / max(1e-12, 1 - beyond)
-        chance |= {(*history, w): p for w, p in direct.items()}
-    state = {(): 0} | {h: i for i, h in enumerate(sorted(followers, key=lambda h: (len(h), h)), 1)}
-
-    def longest(history: tuple[int, ...]) -> int:
-        while history not in state:
-            history = history[1:]
-        return state[history]
-
-    for history, number in state.items():
-        if history:
-            made.failure.append(longest(history[1:]))
-            made.backoff.append(math.log10(left[history]))
-            for word in followers[history]:
-                made.arcs[number * made.size + word] = (math.log10(chance[(*history, word)]), longest((*history, word)[-ORDER + 1 :]))
-    made.after = [longest((w,)) for w in range(len(words))]
-    made.to_empty = [0.0] * len(state)
-    for number in range(1, len(state)):
-        made.to_empty[number] = made.backoff[number] + made.to_empty[made.failure[number]]
-    made.start = made.after[made.words[END]] if END in made.words else 0
-    return made
-
-
-def gram_counts(texts: DataFrame, words: dict[bytes, int], inner: int, shorter: list[tuple[int, ...]] | None) -> DataFrame:
-    """Counts of n-grams all of whose parts are frequent: ``head`` (number of the n-gram without its last word) and ``word``.
-
-    ``shorter`` lists the frequent n-grams of the length before, None for single words.
-    """
-    spark = texts.sparkSession
-    common = spark.sparkContext.broadcast({w: i for w, i in words.items() if i < inner})
-    known = spark.sparkContext.broadcast(shorter)
-
-    def make():
-        number, end = common.value, common.value.get(END, -1)
-        length = 1 if known.value is None else len(known.value[0])
-        if length > 1:
-            grams = np.array(known.value, np.int64)
-            keys = np.zeros(len(grams), np.int64)
-            for k in range(length):
-                keys = keys * inner + grams[:, k]
-            order = np.argsort(keys)
-            keys = keys[order]
+            for doc_id, text, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                said = text.as_py() or ""
+                size, side = len(tokens(said)) + 1, not held
+                if open_tokens[side] and open_tokens[side] + size > block_tokens:
+                    yield closed(side)
+                    open_tokens[side] = 0
+                for kept, value in zip(gathered[side], (doc_id, said, size)):
+                    kept.append(value)
+                open_tokens[side] += size
+        for side, size in open_tokens.items():
+            if size:
+                yield closed(side)
 
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            line: list[int] = []
-            for text in batch.column(0):
-                line.append(end)
-                line += [number.get(w, -1) for w in tokens(text.as_py())]
-                line += [end, -1]
-            ids = np.array(line, np.int64)
-            if length == 1:
-                parts = ids
-            else:
-                spans = len(ids) - length + 1
-                key, good = np.zeros(spans, np.int64), np.ones(spans, bool)
-                for k in range(length):
-                    key = key * inner + np.maximum(ids[k : k + spans], 0)
-                    good &= ids[k : k + spans] >= 0
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                parts = np.where(good & (keys[at] == key), order[at], -1)
-            n = len(parts) - 1
-            head, tail, word = parts[:n], parts[1:], ids[length : length + n]
-            good = (head >= 0) & (tail >= 0)
-            pairs, n = np.unique(head[good] * inner + word[good], return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], names=["pair", "n"])
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held_out(F.col("doc_id").cast("long")))
+    return rows.mapInArrow(run, "block long, train boolean, n_tokens long, ids array<long>, texts array<string>")
 
-        return step
 
-    counted = texts.mapInArrow(by_batch(make), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return counted.select(F.floor(F.col("pair") / F.lit(inner)).cast("long").alias("head"), (F.col("pair") % inner).alias("word"), "n")
-
-
-@dataclass
-class Model:
-    """A trained model: the automaton for the tasks, all word counts as a table, and their totals."""
-
-    automaton: Automaton
-    counts: DataFrame
-    n_tokens: int
-    n_words: int
-
-
-def train(texts: DataFrame, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, order: int = ORDER) -> Model:
-    """Count words and n-grams of the only column of ``texts``."""
-    counts = materialized(word_counts(texts), "lm-words")
-    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    n_tokens, n_words = int(row[0]), int(row[1])
-    # At most 1 / word_share rows, as their counts sum to at most n_tokens.
-    common = counts.filter((F.col("n") >= word_share * n_tokens) | (F.col("word") == F.lit(END))).collect()
-    common.sort(key=lambda r: (-r["n"], bytes(r["word"])))
-    words, numbers = [bytes(r["word"]) for r in common], [r["n"] for r in common]
-    least = max(2.0, gram_share * n_tokens)
-    inner = sum(n >= least for n in numbers)
-    if END in words and words.index(END) >= inner:  # the end is a history of every text: keep it among the inner words
-        at = words.index(END)
-        words.insert(inner, words.pop(at))
-        numbers.insert(inner, numbers.pop(at))
-        inner += 1
-    known, grams, shorter = {w: i for i, w in enumerate(words)}, [], None
-    for _ in range(order - 1):
-        if not inner or shorter == []:
-            break
-        rows = gram_counts(texts, known, inner, shorter).filter(F.col("n") >= least).collect()
-        heads = shorter if shorter is not None else [(i,) for i in range(inner)]
-        level = dict(sorted(((*heads[r["head"]], r["word"]), r["n"]) for r in rows))
-        grams.append(level)
-        shorter = list(level)
-    return Model(build(words, numbers, inner, grams, n_tokens, n_words), counts, n_tokens, n_words)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Base and model scores of every row of ``docs``.
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, so that equal high bytes lie together and compress."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
 
-    Columns: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def gram_hashes(texts: list[str], hashes: Hashes) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the n-grams of one to ``ORDER`` tokens ending at each token of ``texts``, and the number of tokens of each text.
+
+    The first entry of a text is its start and stands for no token; n-grams that would reach before it are 0.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model.automaton)
-    scale = model.n_tokens + 0.5 * (model.n_words + 1)
+    line: list[int] = []
+    sizes: list[int] = []
+    for text in texts:
+        words = tokens(text)
+        line.append(hashes[END])
+        line.extend([hashes[w] for w in words])
+        line.append(hashes[END])
+        sizes.append(len(words) + 1)
+    single = np.array(line, np.uint64)
+    counts = np.array(sizes, np.int64)
+    starts = np.cumsum(counts + 1) - counts - 1
+    place = np.arange(len(single)) - np.repeat(starts, counts + 1)
+    grams = [single]
+    for length in range(2, ORDER + 1):
+        longer = np.zeros(len(single), np.uint64)
+        longer[1:] = (grams[-1][:-1] ^ (grams[-1][:-1] >> np.uint64(29))) * SPREAD + single[1:]
+        longer[place < length - 1] = 0
+        grams.append(longer)
+    grams[0] = np.where(place > 0, single, np.uint64(0))
+    return grams, counts
+
+
+def distinct(grams: list[np.ndarray]) -> list[np.ndarray]:
+    """The different single words and the different longer n-grams, each sorted, and how often each is there."""
+    found = []
+    for level in (grams[0], np.concatenate(grams[1:])):
+        keys, times = np.unique(level, return_counts=True)
+        real = keys != 0
+        found += [keys[real], times[real].astype(np.uint32)]
+    return found
+
+
+def slices(texts: DataFrame, ranges: int) -> DataFrame:
+    """The n-grams of every block cut by hash range: ``part``, ``block``, ``keys``, ``times`` (null where the block does not train).
+
+    Parts from 0 on are ranges of longer n-grams, those below are ranges of single words.
+    """
+    edges = np.array([(r << 64) // ranges for r in range(1, ranges)], np.uint64)
 
-    def make():
-        made = shared.value
-        number, single, size = made.words, made.single, len(made.words)
-        end = made.words.get(END, -1)
-        unknown_end = 0.0 if end >= 0 else math.log10(0.5 / scale)
-        rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-        singles = np.array([*single, 0.0])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, train = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                words, word_times, grams, gram_times = distinct(gram_hashes(batch.column(2)[row].as_py(), hashes)[0])
+                out: list[list] = [[], [], [], []]
+                for keys, times, part_of in ((words, word_times, lambda r: -1 - r), (grams, gram_times, lambda r: r)):
+                    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+                    for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                        if b > a:
+                            out[0].append(part_of(number))
+                            out[1].append(block)
+                            out[2].append(packed(np.diff(keys[a:b], prepend=np.uint64(0))))
+                            out[3].append(packed(times[a:b]) if train else None)
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["part", "block", "keys", "times"])
+
+    return texts.select("block", "train", "texts").mapInArrow(run, "part long, block long, keys binary, times binary")
+
+
+def answers(cut: DataFrame) -> DataFrame:
+    """Counts over all training blocks for each slice: ``part``, ``block``, ``counts``; the row of block -1 has the number of trained n-grams in ``n``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        asked = [np.cumsum(unpacked(k.as_py(), np.uint64), dtype=np.uint64) for k in table.column("keys")]
+        times = [t.as_py() for t in table.column("times")]
+        trained = [(k, unpacked(t, np.uint32)) for k, t in zip(asked, times) if t is not None]
+        known, total = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        if trained:
+            keys = np.concatenate([k for k, _ in trained])
+            order = np.argsort(keys)
+            keys, counts = keys[order], np.concatenate([t for _, t in trained]).astype(np.uint64)[order]
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            known, total = keys[first], np.add.reduceat(counts, first)
+        back = []
+        for keys in asked:
+            found = np.zeros(len(keys), np.uint64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                found = np.where(known[at] == keys, total[at], np.uint64(0))
+            back.append(packed(found))
+        columns = [
+            pa.array([part] * (len(back) + 1), pa.int64()),
+            pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
+            pa.array([*back, None], pa.binary()),
+            pa.array([None] * len(back) + [len(known)], pa.int64()),
+        ]
+        return pa.Table.from_arrays(columns, names=["part", "block", "counts", "n"])
+
+    return cut.groupBy("part").applyInArrow(run, "part long, block long, counts binary, n long")
+
+
+def walk(history: int, arcs: list[list[float]], has: list[list[bool]], failures: list[list[float]], end: int) -> float:
+    """Log10 probability of one text, whose start is at ``history`` and whose end token is at ``end``.
+
+    The state is the length of the history that is known.  ``arcs[n][i]`` is the weight of token i after n tokens,
+    ``has[n][i]`` whether that n-gram is an arc, ``failures[n][i]`` the weight of leaving the state of the n tokens before i.
+    """
+    total, state = 0.0, 1
+    for i in range(history + 1, end + 1):
+        while state and not has[state][i]:
+            total += failures[state][i]
+            state -= 1
+        total += arcs[state][i]
+        # The n-gram of the arc is the next state, but for its first token if it is a longest one; an unknown word leads to the empty state.
+        state = min(state + 1, ORDER - 1) if has[state][i] else 0
+    return total
+
+
+def score_block(texts: list[str], words: np.ndarray, grams: np.ndarray, n_tokens: int, n_words: int, hashes: Hashes, strength: float) -> list[list]:
+    """Tokens, known tokens, base score and score of each text, from the counts of the block's sorted words and longer n-grams."""
+    levels, sizes = gram_hashes(texts, hashes)
+    sorted_words, _, sorted_grams, _ = distinct(levels)
+
+    def counts(level: np.ndarray, keys: np.ndarray, answered: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(keys, level), len(keys) - 1)
+        return np.where(level != 0, answered[at], 0).astype(np.float64)
+
+    times = [counts(levels[0], sorted_words, words), *(counts(level, sorted_grams, grams) for level in levels[1:])]
+    firsts = np.cumsum(sizes + 1) - sizes - 1
+    ends = firsts + sizes
+    # A start is the end token as a history: it was met as often as there are texts.
+    as_history = times[0].copy()
+    as_history[firsts] = times[0][ends]
+    before = [None, np.concatenate(([0.0], as_history[:-1])), np.concatenate(([0.0], times[1][:-1]))]
+    chance = (times[0] + 0.5) / (n_tokens + 0.5 * (n_words + 1))
+    chances, failures = [chance], [np.zeros(len(chance))]
+    for length in range(1, ORDER):
+        chance = (times[length] + strength * chance) / (before[length] + strength)
+        chances.append(chance)
+        failures.append(np.log10(strength / (before[length] + strength)))
+    arcs = [np.log10(c) for c in chances]
+    base = np.add.reduceat(np.where(levels[0] != 0, arcs[0], 0.0), firsts)
+    known = np.add.reduceat((times[0] > 0).astype(np.int64), firsts)
+    steps = [[a.tolist() for a in arcs], [(t > 0).tolist() for t in times], [f.tolist() for f in failures]]
+    whole = [walk(a, *steps, b) for a, b in zip(firsts.tolist(), ends.tolist())]
+    return [sizes.tolist(), known.tolist(), base.tolist(), whole]
+
+
+def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, range_grams: int = RANGE_GRAMS, strength: float = STRENGTH) -> DataFrame:
+    """Train on the documents that are not held out, score all.
+
+    Columns: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
+    The sizes of blocks and ranges do not change the result.
+    """
+    texts = written(blocks(docs, block_tokens), "lm-blocks")
+    row = texts.agg(F.sum("n_tokens"), F.sum(F.when(F.col("train"), F.col("n_tokens")))).first()
+    all_tokens, n_tokens = int(row[0] or 0), int(row[1] or 0)
+    ranges = max(1, math.ceil((ORDER - 1) * all_tokens / range_grams))
+    found = written(answers(slices(texts, ranges)), "lm-counts")
+    n_words = int(found.filter((F.col("block") == -1) & (F.col("part") < 0)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    known = found.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("slices"))
+    joined = texts.select("block", "train", "ids", "texts").join(known, "block")
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        hashes = Hashes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out: list[list] = [[], [], [], [], []]
-            for text in batch.column(2):
-                words = tokens(text.as_py())
-                ids = [number.get(w, -1) for w in words]
-                rare = Counter([w for w, i in zip(words, ids) if i < 0])
-                ids.append(end)
-                at = np.array(ids)
-                out[0].append(len(ids))
-                out[1].append(int((at >= 0).sum()))
-                out[2].append(float(singles[at].sum()) + unknown_end)
-                out[3].append(made.score(ids) + unknown_end)
-                out[4].append([{"word": w, "n": n} for w, n in rare.items()])
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_type]
-            columns = [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(out, kinds))]
-            return pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n", "known", "base", "model", "rare"])
-
-        assert size == len(single)
+            out: list[list] = [[], [], [], [], [], []]
+            for row in range(batch.num_rows):
+                train, ids, said, cut = (batch.column(c)[row].as_py() for c in range(4))
+                parts = {s["part"]: s["counts"] for s in cut}
+                words, grams = (
+                    np.concatenate([unpacked(parts[p], np.uint64) for p in order] or [np.zeros(0, np.uint64)])
+                    for order in (sorted((p for p in parts if p < 0), reverse=True), sorted(p for p in parts if p >= 0))
+                )
+                if n_tokens:
+                    scored = score_block(said, words, grams, n_tokens, n_words, hashes, strength)
+                else:
+                    scored = [[len(tokens(t)) + 1 for t in said], [0] * len(said), [0.0] * len(said), [0.0] * len(said)]
+                for kept, values in zip(out, [ids, [not train] * len(ids), *scored]):
+                    kept.extend(values)
+            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+
         return step
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    passed = materialized(
-        rows.mapInArrow(by_batch(make), "row long, doc_id long, n long, known long, base double, model double, rare array<struct<word:binary,n:long>>"),
-        "lm-passed",
-    )
-    rare = passed.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))
-    counts = model.counts.select("word", F.col("n").alias("count"))
-    chance = F.log10((F.coalesce("count", F.lit(0)) + 0.5) / F.lit(scale))
-    rest = (
-        rare.join(counts, "word", "left")
-        .groupBy(F.col("row").alias("rare_row"))
-        .agg(F.sum(F.col("times") * chance).alias("rest"), F.sum(F.when(F.col("count") > 0, F.col("times")).otherwise(0)).alias("rest_known"))
+    scores = joined.select("train", "ids", "texts", "slices").mapInArrow(
+        by_batch(make), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
-    joined = passed.drop("rare").join(rest, F.col("row") == F.col("rare_row"), "left")
-    return joined.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        F.col("n").alias("n_tokens"),
-        (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
-        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
-        (F.col("model") + F.coalesce("rest", F.lit(0.0))).alias("score"),
-    )
-
-
-def score_documents(docs: DataFrame, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, order: int = ORDER) -> DataFrame:
-    """Train on the documents that are not held out, score all."""
-    training = docs.filter(~held_out(F.col("doc_id"))).select(F.col("text").cast("string"))
-    return score(docs, train(training, word_share, gram_share, order))
+    train_tokens = F.lit(n_tokens).cast("long").alias("train_tokens")
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", train_tokens, "base_score", "score")

@@ -20,73 +20,83 @@ def docs(spark, sf_dir):
     return given.union(more).cache()
 
 
-def test_base_scores_equal_brute_force(docs):
-    rows = docs.collect()
-    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
-    seen = collections.Counter(w for i, t in rows if not held(i) for w in words(t))
-    n, v = seen.total(), len(seen)
-    want = collections.Counter()
-    for i, t in rows:
-        said = words(t)
-        base = sum(math.log10((seen[w] + 0.5) / (n + 0.5 * (v + 1))) for w in said)
-        want[i, held(i), len(said), sum(seen[w] > 0 for w in said), n, round(base, 6)] += 1
-    # A larger share leaves more words to the join.
-    for share in (2e-6, 1e-3):
-        got = lm.score_documents(docs, word_share=share).collect()
-        assert collections.Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
-
-
-def test_probabilities_sum_to_one_and_help(docs):
-    texts = docs.filter(~lm.held_out(docs["doc_id"])).select("text")
-    model = lm.train(texts, gram_share=2e-4)
-    made = model.automaton
-    assert len(made.failure) > 50 and len(made.arcs) > 80
-    unseen = 1 - sum(10**x for x in made.single)
-    for state in range(0, len(made.failure), 7):
-        total = unseen * 10 ** made.to_empty[state]
-        for word in range(len(made.words)):
-            at, logs = state, 0.0
-            while True:
-                arc = made.arcs.get(at * made.size + word)
-                if arc or not at:
-                    logs += arc[0] if arc else made.single[word]
-                    break
-                logs, at = logs + made.backoff[at], made.failure[at]
-            total += 10**logs
-        assert abs(total - 1) < 1e-9
-    held = [r for r in lm.score(docs, model).collect() if r["held_out"]]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
-
-
-def test_score_equals_a_plain_backoff_walk():
-    common = [b"the", b"", b"cat", b"sat"]
-    made = lm.build(common, [40, 30, 20, 10], 4, [{(0, 2): 12, (2, 3): 6, (1, 0): 20}, {(1, 0, 2): 8, (0, 2, 3): 5}], 100, 4)
-    grams = {(0, 2): 11.5 / 40, (2, 3): 5.5 / 20, (1, 0): 19.5 / 30, (1, 0, 2): 7.5 / 20, (0, 2, 3): 4.5 / 12}
-    single = [(c + 0.5) / 102.5 for c in (40, 30, 20, 10)]
-
-    def p(history, word):
+def held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 1
+
+
+class Plain:
+    """All n-grams of the training rows in one dictionary; probabilities by the definition."""
+
+    def __init__(self, rows):
+        self.seen, self.past = collections.Counter(), collections.Counter()
+        for _, text in (r for r in rows if not held(r[0])):
+            line = [b"", *words(text)]
+            for i in range(1, len(line)):
+                for size in range(1, min(3, i + 1) + 1):
+                    self.seen[tuple(line[i - size + 1 : i + 1])] += 1
+                for size in (1, 2):
+                    if size <= i:
+                        self.past[tuple(line[i - size : i])] += 1
+        self.n = sum(c for g, c in self.seen.items() if len(g) == 1)
+        self.v = sum(len(g) == 1 for g in self.seen)
+
+    def chance(self, history, word):
         if not history:
-            return single[word] if word >= 0 else 1.0  # the single-word part of rare words is added elsewhere
-        if (*history, word) in grams:
-            return grams[*history, word]
-        known = [g for g in grams if g[:-1] == history]
-        if not known:
-            return p(history[1:], word)
-        left = 1 - sum(grams[g] for g in known)
-        return left / (1 - sum(p(history[1:], g[-1]) for g in known)) * p(history[1:], word)
-
-    for text in ([0, 2, 3, 1], [1], [2, 3, -1, 0, 2, 1], [0, 0, 2, 3, 3, 2, 1]):
-        past, want = [1], 0.0
-        for word in text:
-            history = tuple(past[-2:]) if -1 not in past[-2:] else tuple(past[-1:]) if past[-1] != -1 else ()
-            want += math.log10(p(history, word))
-            past.append(word)
-        assert abs(made.score(text) - want) < 1e-9, text
+            return (self.seen[(word,)] + 0.5) / (self.n + 0.5 * (self.v + 1))
+        shorter = self.chance(history[1:], word)
+        return (self.seen[(*history, word)] + lm.STRENGTH * shorter) / (self.past[history] + lm.STRENGTH)
+
+    def score(self, text):
+        line = [b"", *words(text)]
+        return sum(math.log10(self.chance(tuple(line[max(0, i - 2) : i]), line[i])) for i in range(1, len(line)))
+
+    def row(self, doc_id, text):
+        said = words(text)
+        base = sum(math.log10(self.chance((), w)) for w in said)
+        return doc_id, held(doc_id), len(said), sum(self.seen[(w,)] > 0 for w in said), self.n, round(base, 5), round(self.score(text), 5)
+
+
+def found(df):
+    names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    return collections.Counter((*(r[n] for n in names), round(r["base_score"], 5), round(r["score"], 5)) for r in df.collect())
+
+
+def test_scores_equal_brute_force_at_any_size_of_blocks_and_ranges(docs):
+    rows = docs.collect()
+    plain = Plain(rows)
+    want = collections.Counter(plain.row(i, t) for i, t in rows)
+    for sizes in ({}, {"block_tokens": 3000, "range_grams": 5000}, {"block_tokens": 1}):
+        assert found(lm.score_documents(docs, **sizes)) == want, sizes
+
+
+def test_a_table_in_other_partitions_and_one_hot_text(spark):
+    rows = [(i, "a b c d") for i in range(200)] + [(1000 + i, f"a b {i} c a b") for i in range(50)] + [(1, "a b c d")]
+    plain = Plain(rows)
+    want = collections.Counter(plain.row(i, t) for i, t in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    extra = df.selectExpr("*", "1 as block", "'x' as texts", "2 as part", "3 as n_tokens")
+    for given in (df.coalesce(1), extra.repartition(7)):
+        assert found(lm.score_documents(given, block_tokens=40, range_grams=50)) == want
+
+
+def test_probabilities_after_any_history_sum_to_one(docs):
+    plain = Plain(docs.limit(60).collect())
+    every = [g[0] for g in plain.seen if len(g) == 1]
+    histories = [h for h in plain.past][:: max(1, len(plain.past) // 12)] + [(b"never", b"met")]
+    for history in histories:
+        assert abs(sum(plain.chance(history, w) for w in every) + plain.chance(history, b"not a word") - 1) < 1e-9
+
+
+def test_longer_histories_help_on_held_out_texts(docs):
+    rows = [r for r in lm.score_documents(docs).collect() if r["held_out"]]
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score_documents(docs).count() == 0
-    only_held = spark.createDataFrame([(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1], "doc_id long, text string")
+    only_held = spark.createDataFrame([(i, "a b") for i in range(40) if held(i)], "doc_id long, text string")
     got = lm.score_documents(only_held).collect()
-    assert got and all(r["n_known"] == 0 and r["base_score"] == r["score"] == 0 for r in got)
+    assert got and all(r["n_known"] == 0 and r["base_score"] == r["score"] == 0 and r["n_tokens"] == 3 for r in got)
+    nulls = lm.score_documents(spark.createDataFrame([(None, None), (None, "")], "doc_id long, text string")).collect()
+    assert [(r["held_out"], r["n_tokens"], r["train_tokens"]) for r in nulls] == [(False, 1, 2)] * 2
