@@ -21,8 +21,9 @@ and failure arcs that its texts can take, and walks each text once from left to
 frequent n-gram is one number in each slice, so no range is larger for it.  The number of
 ranges grows with the tokens; a range holds about ``RANGE_GRAMS`` numbers.
 
-Words and n-grams are told apart by their hashes: of 10^12 different ones about one in 40
-million shares its count with another.
+Words are told apart by 64-bit hashes, n-grams by hashes that are ``SPARE_BITS`` longer than the
+number of tokens (64 at most), so that less than one n-gram in 500,000 shares its count with
+another up to 10^13 tokens.
 
 Defined results: a null text is empty and has the end token only; a null doc_id counts as
 training; repeated rows count and are scored one by one; without training texts every
@@ -37,6 +38,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +55,9 @@ END = b""
 BLOCK_TOKENS = 1_000_000
 RANGE_GRAMS = 4_000_000
 #: Distinct words whose hashes a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
+#: Bits of an n-gram's hash beyond those of the number of n-grams.
+SPARE_BITS = 20
 
 #: Odd multiplier that spreads word hashes before the next word is added.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -81,8 +85,9 @@ class Hashes(dict):
 
 
 def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Texts gathered into rows: ``block``, ``train``, ``n_tokens``, and the lists ``ids`` and ``texts``."""
-    kinds = [("block", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int64())), ("texts", pa.list_(pa.string()))]
+    """Texts gathered into rows: ``block``, ``train``, ``n_tokens``, the list ``ids``, and ``sizes`` and ``texts`` (see ``joined_texts``)."""
+    numbers = pa.list_(pa.int64())
+    kinds = [("block", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("ids", numbers), ("sizes", numbers), ("texts", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, made = TaskContext.get().partitionId() << 32, 0
@@ -91,7 +96,8 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
         def closed(side: bool) -> pa.RecordBatch:
             nonlocal made
             ids, texts, sizes = gathered[side]
-            row = [[first + made], [side], [sum(sizes)], [list(ids)], [list(texts)]]
+            lengths, data = joined_texts(texts)
+            row = [[first + made], [side], [sum(sizes)], [list(ids)], [lengths], [data]]
             for gone in (ids, texts, sizes):
                 gone.clear()
             made += 1
@@ -113,20 +119,34 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
                 yield closed(side)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held_out(F.col("doc_id").cast("long")))
-    return rows.mapInArrow(run, "block long, train boolean, n_tokens long, ids array<long>, texts array<string>")
+    return rows.mapInArrow(run, "block long, train boolean, n_tokens long, ids array<long>, sizes array<long>, texts binary")
+
+
+def joined_texts(texts: list[str]) -> tuple[list[int], bytes]:
+    """Lengths in bytes, and all texts in one compressed string."""
+    parts = [t.encode() for t in texts]
+    return [len(p) for p in parts], zstandard.compress(b"".join(parts), 3)
+
+
+def parted_texts(sizes: list[int], data: bytes) -> list[str]:
+    whole, at, texts = zstandard.decompress(data), 0, []
+    for size in sizes:
+        texts.append(whole[at : at + size].decode())
+        at += size
+    return texts
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers as planes of bytes, so that equal high bytes lie together and compress."""
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+    """Numbers as compressed planes of bytes, so that equal high bytes lie together."""
+    return zstandard.compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes(), 1)
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-def gram_hashes(texts: list[str], hashes: Hashes) -> tuple[list[np.ndarray], np.ndarray]:
+def gram_hashes(texts: list[str], hashes: Hashes, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Hashes of the n-grams of one to ``ORDER`` tokens ending at each token of ``texts``, and the number of tokens of each text.
 
     The first entry of a text is its start and stands for no token; n-grams that would reach before it are 0.
@@ -150,11 +170,11 @@ def gram_hashes(texts: list[str], hashes: Hashes) -> tuple[list[np.ndarray], np.
         longer[place < length - 1] = 0
         grams.append(longer)
     grams[0] = np.where(place > 0, single, np.uint64(0))
-    return grams, counts
+    return [grams[0], *(g >> np.uint64(64 - bits) for g in grams[1:])], counts
 
 
 def distinct(grams: list[np.ndarray]) -> list[np.ndarray]:
-    """The different single words and the different longer n-grams, each sorted, and how often each is there."""
+    """The different single words and the different longer n-grams, each sorted, and how often each is there; 0 is none."""
     found = []
     for level in (grams[0], np.concatenate(grams[1:])):
         keys, times = np.unique(level, return_counts=True)
@@ -163,21 +183,22 @@ def distinct(grams: list[np.ndarray]) -> list[np.ndarray]:
     return found
 
 
-def slices(texts: DataFrame, ranges: int) -> DataFrame:
+def slices(texts: DataFrame, ranges: int, bits: int) -> DataFrame:
     """The n-grams of every block cut by hash range: ``part``, ``block``, ``keys``, ``times`` (null where the block does not train).
 
     Parts from 0 on are ranges of longer n-grams, those below are ranges of single words.
     """
-    edges = np.array([(r << 64) // ranges for r in range(1, ranges)], np.uint64)
+    word_edges, gram_edges = (np.array([(r << width) // ranges for r in range(1, ranges)], np.uint64) for width in (64, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
             for row in range(batch.num_rows):
-                block, train = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                words, word_times, grams, gram_times = distinct(gram_hashes(batch.column(2)[row].as_py(), hashes)[0])
+                block, train, sizes, data = (batch.column(c)[row].as_py() for c in range(4))
+                said = parted_texts(sizes, data)
+                words, word_times, grams, gram_times = distinct(gram_hashes(said, hashes, bits)[0])
                 out: list[list] = [[], [], [], []]
-                for keys, times, part_of in ((words, word_times, lambda r: -1 - r), (grams, gram_times, lambda r: r)):
+                for keys, times, edges, part_of in ((words, word_times, word_edges, lambda r: -1 - r), (grams, gram_times, gram_edges, lambda r: r)):
                     cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
                     for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
                         if b > a:
@@ -188,7 +209,7 @@ def slices(texts: DataFrame, ranges: int) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["part", "block", "keys", "times"])
 
-    return texts.select("block", "train", "texts").mapInArrow(run, "part long, block long, keys binary, times binary")
+    return texts.select("block", "train", "sizes", "texts").mapInArrow(run, "part long, block long, keys binary, times binary")
 
 
 def answers(cut: DataFrame) -> DataFrame:
@@ -224,14 +245,14 @@ def answers(cut: DataFrame) -> DataFrame:
     return cut.groupBy("part").applyInArrow(run, "part long, block long, counts binary, n long")
 
 
-def walk(history: int, arcs: list[list[float]], has: list[list[bool]], failures: list[list[float]], end: int) -> float:
-    """Log10 probability of one text, whose start is at ``history`` and whose end token is at ``end``.
+def walk(arcs: list[list[float]], has: list[list[bool]], failures: list[list[float]]) -> float:
+    """Log10 probability of one text, whose start is at 0 and whose end token comes last.
 
     The state is the length of the history that is known.  ``arcs[n][i]`` is the weight of token i after n tokens,
     ``has[n][i]`` whether that n-gram is an arc, ``failures[n][i]`` the weight of leaving the state of the n tokens before i.
     """
     total, state = 0.0, 1
-    for i in range(history + 1, end + 1):
+    for i in range(1, len(arcs[0])):
         while state and not has[state][i]:
             total += failures[state][i]
             state -= 1
@@ -241,9 +262,9 @@ def walk(history: int, arcs: list[list[float]], has: list[list[bool]], failures:
     return total
 
 
-def score_block(texts: list[str], words: np.ndarray, grams: np.ndarray, n_tokens: int, n_words: int, hashes: Hashes, strength: float) -> list[list]:
+def score_block(texts: list[str], words: np.ndarray, grams: np.ndarray, n_tokens: int, n_words: int, hashes: Hashes, bits: int, strength: float) -> list[list]:
     """Tokens, known tokens, base score and score of each text, from the counts of the block's sorted words and longer n-grams."""
-    levels, sizes = gram_hashes(texts, hashes)
+    levels, sizes = gram_hashes(texts, hashes, bits)
     sorted_words, _, sorted_grams, _ = distinct(levels)
 
     def counts(level: np.ndarray, keys: np.ndarray, answered: np.ndarray) -> np.ndarray:
@@ -266,8 +287,8 @@ def score_block(texts: list[str], words: np.ndarray, grams: np.ndarray, n_tokens
     arcs = [np.log10(c) for c in chances]
     base = np.add.reduceat(np.where(levels[0] != 0, arcs[0], 0.0), firsts)
     known = np.add.reduceat((times[0] > 0).astype(np.int64), firsts)
-    steps = [[a.tolist() for a in arcs], [(t > 0).tolist() for t in times], [f.tolist() for f in failures]]
-    whole = [walk(a, *steps, b) for a, b in zip(firsts.tolist(), ends.tolist())]
+    steps = [arcs, [t > 0 for t in times], failures]
+    whole = [walk(*([level[a : b + 1].tolist() for level in kind] for kind in steps)) for a, b in zip(firsts.tolist(), ends.tolist())]
     return [sizes.tolist(), known.tolist(), base.tolist(), whole]
 
 
@@ -280,11 +301,12 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, range_gra
     texts = written(blocks(docs, block_tokens), "lm-blocks")
     row = texts.agg(F.sum("n_tokens"), F.sum(F.when(F.col("train"), F.col("n_tokens")))).first()
     all_tokens, n_tokens = int(row[0] or 0), int(row[1] or 0)
-    ranges = max(1, math.ceil((ORDER - 1) * all_tokens / range_grams))
-    found = written(answers(slices(texts, ranges)), "lm-counts")
+    n_grams = (ORDER - 1) * all_tokens
+    ranges, bits = max(1, math.ceil(n_grams / range_grams)), min(64, n_grams.bit_length() + SPARE_BITS)
+    found = written(answers(slices(texts, ranges, bits)), "lm-counts")
     n_words = int(found.filter((F.col("block") == -1) & (F.col("part") < 0)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     known = found.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("slices"))
-    joined = texts.select("block", "train", "ids", "texts").join(known, "block")
+    joined = texts.select("block", "train", "ids", "sizes", "texts").join(known, "block")
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         hashes = Hashes()
@@ -292,14 +314,15 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, range_gra
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out: list[list] = [[], [], [], [], [], []]
             for row in range(batch.num_rows):
-                train, ids, said, cut = (batch.column(c)[row].as_py() for c in range(4))
+                train, ids, lengths, data, cut = (batch.column(c)[row].as_py() for c in range(5))
+                said = parted_texts(lengths, data)
                 parts = {s["part"]: s["counts"] for s in cut}
                 words, grams = (
                     np.concatenate([unpacked(parts[p], np.uint64) for p in order] or [np.zeros(0, np.uint64)])
                     for order in (sorted((p for p in parts if p < 0), reverse=True), sorted(p for p in parts if p >= 0))
                 )
                 if n_tokens:
-                    scored = score_block(said, words, grams, n_tokens, n_words, hashes, strength)
+                    scored = score_block(said, words, grams, n_tokens, n_words, hashes, bits, strength)
                 else:
                     scored = [[len(tokens(t)) + 1 for t in said], [0] * len(said), [0.0] * len(said), [0.0] * len(said)]
                 for kept, values in zip(out, [ids, [not train] * len(ids), *scored]):
@@ -310,7 +333,7 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, range_gra
 
         return step
 
-    scores = joined.select("train", "ids", "texts", "slices").mapInArrow(
+    scores = joined.select("train", "ids", "sizes", "texts", "slices").mapInArrow(
         by_batch(make), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     train_tokens = F.lit(n_tokens).cast("long").alias("train_tokens")
