@@ -125,7 +125,7 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
 def joined_texts(texts: list[str]) -> tuple[list[int], bytes]:
     """Lengths in bytes, and all texts in one compressed string."""
     parts = [t.encode() for t in texts]
-    return [len(p) for p in parts], zstandard.compress(b"".join(parts), 3)
+    return [len(p) for p in parts], zstandard.compress(b"".join(parts), 6)
 
 
 def parted_texts(sizes: list[int], data: bytes) -> list[str]:
@@ -183,10 +183,11 @@ def distinct(grams: list[np.ndarray]) -> list[np.ndarray]:
     return found
 
 
-def slices(texts: DataFrame, ranges: int, bits: int) -> DataFrame:
+def slices(texts: DataFrame, ranges: int, bits: int, longer: bool = True) -> DataFrame:
     """The n-grams of every block cut by hash range: ``part``, ``block``, ``keys``, ``times`` (null where the block does not train).
 
-    Parts from 0 on are ranges of longer n-grams, those below are ranges of single words.
+    Parts from 0 on are ranges of longer n-grams, those below are ranges of single words;
+    only these if not ``longer``.
     """
     word_edges, gram_edges = (np.array([(r << width) // ranges for r in range(1, ranges)], np.uint64) for width in (64, bits))
 
@@ -196,9 +197,11 @@ def slices(texts: DataFrame, ranges: int, bits: int) -> DataFrame:
             for row in range(batch.num_rows):
                 block, train, sizes, data = (batch.column(c)[row].as_py() for c in range(4))
                 said = parted_texts(sizes, data)
-                words, word_times, grams, gram_times = distinct(gram_hashes(said, hashes, bits)[0])
+                levels = gram_hashes(said, hashes, bits)[0]
+                words, word_times, grams, gram_times = distinct(levels if longer else [levels[0], levels[0][:0]])
                 out: list[list] = [[], [], [], []]
-                for keys, times, edges, part_of in ((words, word_times, word_edges, lambda r: -1 - r), (grams, gram_times, gram_edges, lambda r: r)):
+                kinds = [(words, word_times, word_edges, lambda r: -1 - r), (grams, gram_times, gram_edges, lambda r: r)]
+                for keys, times, edges, part_of in kinds if longer else kinds[:1]:
                     cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
                     for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
                         if b > a:
@@ -206,8 +209,8 @@ def slices(texts: DataFrame, ranges: int, bits: int) -> DataFrame:
                             out[1].append(block)
                             out[2].append(packed(np.diff(keys[a:b], prepend=np.uint64(0))))
                             out[3].append(packed(times[a:b]) if train else None)
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["part", "block", "keys", "times"])
+                columns = [pa.array(c, k) for c, k in zip(out, [pa.int64(), pa.int64(), pa.binary(), pa.binary()])]
+                yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "keys", "times"])
 
     return texts.select("block", "train", "sizes", "texts").mapInArrow(run, "part long, block long, keys binary, times binary")
 
@@ -303,9 +306,10 @@ def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, range_gra
     all_tokens, n_tokens = int(row[0] or 0), int(row[1] or 0)
     n_grams = (ORDER - 1) * all_tokens
     ranges, bits = max(1, math.ceil(n_grams / range_grams)), min(64, n_grams.bit_length() + SPARE_BITS)
-    found = written(answers(slices(texts, ranges, bits)), "lm-counts")
-    n_words = int(found.filter((F.col("block") == -1) & (F.col("part") < 0)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    known = found.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("slices"))
+    # Every chance needs the number of words first; counting them apart spares a table of all answers.
+    words = answers(slices(texts.filter("train"), ranges, bits, longer=False))
+    n_words = int(words.filter("block = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    known = answers(slices(texts, ranges, bits)).filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "counts")).alias("slices"))
     joined = texts.select("block", "train", "ids", "sizes", "texts").join(known, "block")
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
