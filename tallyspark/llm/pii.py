@@ -7,8 +7,8 @@ give them a probability above their kind's threshold.  The trees learn from evid
 for right if the words before it say so (an assignment to a key or an issuer's prefix, a word of calling, of writing, of
 networks), and no feature reads these words.  So what is learned is how such values look, and values without a word before them are found as well.
 
-A quarter of the sample, not fitted, sets each kind's threshold: the lowest at which nine of ten of the kind are right; a kind
-that never gets there, or is never said to be right, is not added.  Of added spans that overlap in a chain the likeliest stays; those that overlap a base span go.
+The trees are fitted on all candidates.  Two more fits, each on one half of them, judge the other half, and so all candidates
+set each kind's threshold: the lowest at which nine of ten of the kind are right; a kind that never gets there, or is never said to be right, is not added.  Of added spans that overlap in a chain the likeliest stays; those that overlap a base span go.
 
 Only built-in expressions and Spark's own trees run.  Places come from running sums of the
 lengths between matches, so a text with very many matches costs time in proportion.
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.common import written
 
-#: Candidates that a fit looks at, at most, chosen by a hash of their place; a quarter calibrates the threshold.
-FIT_ROWS = 20_000
 PRECISION = 0.9
 BINS = 50
 CONTEXT, AFTER = 24, 8
@@ -170,25 +168,23 @@ def candidates(spans: DataFrame) -> DataFrame:
     return spans.filter(~F.col("overlaps") & F.col("kind").isin(ADDED))
 
 
-def fit(spans: DataFrame, fit_rows: int = FIT_ROWS):
-    """(model, threshold of each kind that may be added) from at most ``fit_rows`` candidates; None where they have one label only."""
-    place = F.xxhash64("row", "kind", "start")
-    sample = candidates(spans).withColumn("place", place).orderBy("place", "row", "kind", "start").limit(fit_rows)
-    sample = with_features(sample).select("place", "kind", "good", *FEATURES)
-    columns = ["place", "kind", "good", "features"]
-    sample = written(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample).select(*columns), "pii-sample")
-    apart = F.pmod(F.shiftright(F.col("place"), 8), F.lit(4)) == 0
-    fitted, held = sample.filter(~apart), sample.filter(apart)
-    if fitted.select("good").distinct().count() < 2:
+def fit(spans: DataFrame):
+    """(model, threshold of each kind that may be added) from all candidates; None where they, or either half, have one label only."""
+    every = with_features(candidates(spans).withColumn("place", F.xxhash64("row", "kind", "start")))
+    every = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(every)
+    half = (F.shiftright(F.col("place"), 8) % 2 == 0).alias("half")
+    every = written(every.select(half, "kind", "good", "features"), "pii-candidates")
+    halves = [every.filter("half"), every.filter("not half")]
+    if every.select("half", "good").distinct().count() < 4:
         return None
-    model = GBTClassifier(labelCol="good", featuresCol="features", maxIter=12, maxDepth=4, stepSize=0.3, seed=7).fit(fitted)
+    trees = GBTClassifier(labelCol="good", featuresCol="features", maxIter=12, maxDepth=4, stepSize=0.3, seed=7)
+    judged = functools.reduce(DataFrame.union, [trees.fit(mine).transform(other) for mine, other in (halves, halves[::-1])])
     bins = (
-        model.transform(held)
-        .groupBy("kind", F.floor(vector_to_array("probability")[1] * BINS).alias("bin"))
+        judged.groupBy("kind", F.floor(vector_to_array("probability")[1] * BINS).alias("bin"))
         .agg(F.sum("good").alias("good"), F.count("*").alias("n"))
         .collect()
     )
-    return model, thresholds([(r["kind"], r["bin"], r["good"], r["n"]) for r in bins])
+    return trees.fit(every), thresholds([(r["kind"], r["bin"], r["good"], r["n"]) for r in bins])
 
 
 def thresholds(bins: list[tuple[str, int, float, int]]) -> dict[str, float]:
@@ -213,12 +209,12 @@ def likeliest(added: DataFrame) -> DataFrame:
     return chained.withColumn("best", best).filter("best = 1").drop("begins", "chain", "best")
 
 
-def find(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """Spans of every row of ``docs``: ``doc_id`` and ``spans``, sorted structs of start, kind, end and base."""
     found = _found(docs)
     spans = _spans(found)
     chosen = spans.filter("base")
-    trained = fit(spans, fit_rows)
+    trained = fit(spans)
     columns = ["row", "start", "kind", "end", "base"]
     if trained:
         model, limits = trained
