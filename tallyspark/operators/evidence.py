@@ -9,6 +9,7 @@ from tallyspark.functions import values
 from tallyspark.functions.values import share
 from tallyspark.operators.cascade import contextual_lookup, small
 from tallyspark.operators.lookup import lookup
+from tallyspark.session import materialized
 
 # Engine constants.
 AUTO_ABOVE = 0.90
@@ -152,13 +153,18 @@ def word_runs(col: Column, longest: int) -> Column:
 
 def contained_terms(texts: DataFrame, terms: DataFrame, text: str = "clean_description") -> DataFrame:
     """Every (text, term row) where the term is a whole word run of the text: an equi-join on runs."""
+    terms = materialized(terms, "terms")
     longest = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
     runs = texts.select(text, F.explode(word_runs(F.col(text), longest)).alias("term"))
     return runs.join(terms, "term")
 
 
 def cluster_boost(texts: DataFrame, strong: DataFrame, text: str = "clean_description") -> DataFrame:
-    """``(text, cluster_boost, cluster_match_id)`` for distinct texts: the first strong term wins."""
+    """``(text, cluster_boost, cluster_match_id)`` for distinct texts: the first strong term wins.
+
+    Both inputs are written, as each is read twice.
+    """
+    texts = materialized(texts, "boost-texts")
     hits = (
         contained_terms(texts, strong, text)
         .groupBy(text)
