@@ -146,8 +146,8 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-def gram_hashes(texts: list[str], hashes: Hashes, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Hashes of the n-grams of one to ``ORDER`` tokens ending at each token of ``texts``, and the number of tokens of each text.
+def gram_hashes(texts: list[str], hashes: Hashes, bits: int, longest: int = ORDER) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the n-grams of one to ``longest`` tokens ending at each token of ``texts``, and the number of tokens of each text.
 
     The first entry of a text is its start and stands for no token; n-grams that would reach before it are 0.
     """
@@ -164,7 +164,7 @@ def gram_hashes(texts: list[str], hashes: Hashes, bits: int) -> tuple[list[np.nd
     starts = np.cumsum(counts + 1) - counts - 1
     place = np.arange(len(single)) - np.repeat(starts, counts + 1)
     grams = [single]
-    for length in range(2, ORDER + 1):
+    for length in range(2, longest + 1):
         longer = np.zeros(len(single), np.uint64)
         longer[1:] = (grams[-1][:-1] ^ (grams[-1][:-1] >> np.uint64(29))) * SPREAD + single[1:]
         longer[place < length - 1] = 0
@@ -197,7 +197,7 @@ def slices(texts: DataFrame, ranges: int, bits: int, longer: bool = True) -> Dat
             for row in range(batch.num_rows):
                 block, train, sizes, data = (batch.column(c)[row].as_py() for c in range(4))
                 said = parted_texts(sizes, data)
-                levels = gram_hashes(said, hashes, bits)[0]
+                levels = gram_hashes(said, hashes, bits, ORDER if longer else 1)[0]
                 words, word_times, grams, gram_times = distinct(levels if longer else [levels[0], levels[0][:0]])
                 out: list[list] = [[], [], [], []]
                 kinds = [(words, word_times, word_edges, lambda r: -1 - r), (grams, gram_times, gram_edges, lambda r: r)]
@@ -265,16 +265,47 @@ def walk(arcs: list[list[float]], has: list[list[bool]], failures: list[list[flo
     return total
 
 
+def walks(arcs: list[np.ndarray], has: list[np.ndarray], failures: list[np.ndarray], firsts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``walk`` for all texts of a block at once, which lie one after the other from ``firsts`` to ``ends``.
+
+    An n-gram that occurs has all its shorter ones, so the state before a token follows from the token before it alone.
+    Where two n-grams share a hash that may not hold; a text in which a step does not lead to the next state is walked by itself.
+    """
+    state = np.zeros(len(has[0]), np.int64)
+    state[1:] = np.where(has[1][:-1], ORDER - 1, has[0][:-1])
+    state[firsts + 1] = 1
+    used = np.where((state == ORDER - 1) & has[2], 2, np.where((state > 0) & has[1], 1, 0))
+    after = np.where(used > 0, ORDER - 1, has[0])
+    total = np.choose(used, arcs)
+    for order in range(1, ORDER):
+        total += np.where((state >= order) & (used < order), failures[order], 0.0)
+    total[firsts] = 0.0
+    scores = np.add.reduceat(total, firsts)
+    wrong = np.zeros(len(state), bool)
+    wrong[1:] = after[:-1] != state[1:]
+    # The first token of a text follows its start, which is no token; nothing leads to a start.
+    wrong[firsts] = wrong[firsts + 1] = False
+    for text in np.flatnonzero(np.logical_or.reduceat(wrong, firsts)).tolist():
+        a, b = int(firsts[text]), int(ends[text])
+        scores[text] = walk(*([level[a : b + 1].tolist() for level in kind] for kind in (arcs, has, failures)))
+    return scores
+
+
 def score_block(texts: list[str], words: np.ndarray, grams: np.ndarray, n_tokens: int, n_words: int, hashes: Hashes, bits: int, strength: float) -> list[list]:
     """Tokens, known tokens, base score and score of each text, from the counts of the block's sorted words and longer n-grams."""
     levels, sizes = gram_hashes(texts, hashes, bits)
-    sorted_words, _, sorted_grams, _ = distinct(levels)
-
-    def counts(level: np.ndarray, keys: np.ndarray, answered: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(keys, level), len(keys) - 1)
-        return np.where(level != 0, answered[at], 0).astype(np.float64)
 
-    times = [counts(levels[0], sorted_words, words), *(counts(level, sorted_grams, grams) for level in levels[1:])]
+    def counts(level: np.ndarray, answered: np.ndarray) -> np.ndarray:
+        # In order, the n-grams stand as they were asked (see distinct); 0 is none and comes first.
+        order = np.argsort(level)
+        keys = level[order]
+        fresh = keys != 0
+        fresh[1:] &= keys[1:] != keys[:-1]
+        found = np.empty(len(level))
+        found[order] = np.concatenate(([0], answered)).astype(np.float64)[np.cumsum(fresh)]
+        return found
+
+    times = [counts(levels[0], words), *np.split(counts(np.concatenate(levels[1:]), grams), ORDER - 1)]
     firsts = np.cumsum(sizes + 1) - sizes - 1
     ends = firsts + sizes
     # A start is the end token as a history: it was met as often as there are texts.
@@ -290,9 +321,8 @@ def score_block(texts: list[str], words: np.ndarray, grams: np.ndarray, n_tokens
     arcs = [np.log10(c) for c in chances]
     base = np.add.reduceat(np.where(levels[0] != 0, arcs[0], 0.0), firsts)
     known = np.add.reduceat((times[0] > 0).astype(np.int64), firsts)
-    steps = [arcs, [t > 0 for t in times], failures]
-    whole = [walk(*([level[a : b + 1].tolist() for level in kind] for kind in steps)) for a, b in zip(firsts.tolist(), ends.tolist())]
-    return [sizes.tolist(), known.tolist(), base.tolist(), whole]
+    whole = walks(arcs, [t > 0 for t in times], failures, firsts, ends)
+    return [sizes.tolist(), known.tolist(), base.tolist(), whole.tolist()]
 
 
 def score_documents(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, range_grams: int = RANGE_GRAMS, strength: float = STRENGTH) -> DataFrame:

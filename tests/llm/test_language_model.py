@@ -3,6 +3,7 @@ import math
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from tallyspark.llm import language_model as lm
@@ -100,3 +101,23 @@ def test_empty(spark):
     assert got and all(r["n_known"] == 0 and r["base_score"] == r["score"] == 0 and r["n_tokens"] == 3 for r in got)
     nulls = lm.score_documents(spark.createDataFrame([(None, None), (None, "")], "doc_id long, text string")).collect()
     assert [(r["held_out"], r["n_tokens"], r["train_tokens"]) for r in nulls] == [(False, 1, 2)] * 2
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_all_texts_are_walked_at_once_as_one_by_one(monkeypatch, closed):
+    """op9's CPU seconds: no loop over tokens where n-grams have their shorter ones; with shared hashes they need not, and the walk decides."""
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(1, 12, 300)
+    firsts = np.cumsum(sizes + 1) - sizes - 1
+    ends, n = firsts + sizes, int((sizes + 1).sum())
+    place = np.arange(n) - np.repeat(firsts, sizes + 1)
+    has = [(rng.random(n) < 0.8) & (place > 0), (rng.random(n) < 0.6) & (place > 0), (rng.random(n) < 0.5) & (place > 1)]
+    if closed:
+        has[1][1:] &= has[0][1:] & (has[0][:-1] | (place[1:] == 1))
+        has[2][1:] &= has[1][1:] & has[1][:-1]
+    arcs, failures = [-rng.random(n) for _ in range(3)], [-rng.random(n) for _ in range(3)]
+    one = [lm.walk(*([level[a : b + 1].tolist() for level in kind] for kind in (arcs, has, failures))) for a, b in zip(firsts, ends)]
+    walked, plain = [], lm.walk
+    monkeypatch.setattr(lm, "walk", lambda *given: walked.append(1) or plain(*given))
+    assert np.allclose(lm.walks(arcs, has, failures, firsts, ends), one, atol=1e-12)
+    assert not walked if closed else 0 < len(walked) < 300
